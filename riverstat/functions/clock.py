@@ -6,22 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_TIME = r"^\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
+_MDY = r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
+_MDY_DATE = _MDY + r"(\s.*)?$"
+_MDY_TIME = _MDY + r"\s+(\d{1,2}):(\d{2})(:\d{2})?\s*$"
+
+
 def iso_datetime(date: Column, time: Column) -> Column:
     """Date column and `H:mm` or `H:mm:ss` text -> wall-clock timestamp."""
     full = F.when(time.rlike(r"^\d{1,2}:\d{2}$"), F.concat(time, F.lit(":00"))).otherwise(time)
-    return F.concat(date.cast("string"), F.lit(" "), full).try_cast("timestamp_ntz")
+    text = F.concat(date.cast("string"), F.lit(" "), full)
+    return F.when(time.rlike(_TIME), text.try_cast("timestamp_ntz"))
 
 
 def mdy_datetime(text: Column) -> Column:
     """`M/d/yyyy H:mm` -> wall-clock timestamp."""
-    iso = F.regexp_replace(text, r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*$", "$3-$1-$2 $4:$5:00")
-    return iso.try_cast("timestamp_ntz")
+    iso = F.regexp_replace(text, _MDY_TIME, "$3-$1-$2 $4:$5:00")
+    return F.when(text.rlike(_MDY_TIME), iso.try_cast("timestamp_ntz"))
 
 
 def mdy_date(text: Column) -> Column:
     """`MM-dd-yyyy` or `M/d/yyyy`, with any clock time after it -> date."""
-    iso = F.regexp_replace(text, r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})(\s.*)?$", "$3-$1-$2")
-    return iso.try_cast("date")
+    iso = F.regexp_replace(text, _MDY_DATE, "$3-$1-$2")
+    return F.when(text.rlike(_MDY_DATE), iso.try_cast("date"))
 
 
 def wall_clock(text: Column, zone: str) -> Column:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import blank_to_null, clock_hhmm, lookup
 from .deploy import instrument_is_location
-from .joins import null_safe_join
+from .joins import null_safe_join, without_nulls
 from .quality import date_window
 
 NEW, DUPLICATE, UPDATE = "new", "suspected duplicate", "suspected update"
@@ -34,11 +34,11 @@ class Columns:
 MATCH_KEYS = ("k_site", "k_char", "k_date", "k_time", "k_method", "k_depth", "k_stat")
 
 
-def to_store_statistic(statistic):
+def to_store_statistic(statistic: Column) -> Column:
     return lookup(statistic, K.STORE_STATISTIC, statistic)
 
 
-def from_store_statistic(statistic):
+def from_store_statistic(statistic: Column) -> Column:
     return lookup(statistic, {v: k for k, v in K.STORE_STATISTIC.items()}, statistic)
 
 
@@ -92,38 +92,36 @@ def classify_duplicates(new: DataFrame, existing: DataFrame, columns: Columns =
         F.col("Result").cast("double").alias("k_result"),
         F.col("Result_UID").alias("uid"),
     )
-    same = stored.groupBy(*MATCH_KEYS, "k_result").agg(
-        F.count(F.lit(1)).alias("n_same"), F.min("uid").alias("same_uid")
-    )
-    one = F.struct(F.col("k_result").alias("result"), F.col("same_uid").alias("uid"))
-    any_result = same.groupBy(*MATCH_KEYS).agg(
+    keyed = without_nulls(without_nulls(keyed, MATCH_KEYS, "k_nulls"), ["k_result"], "k_no_result")
+    stored = without_nulls(without_nulls(stored, MATCH_KEYS, "k_nulls"), ["k_result"], "k_no_result")
+    key, result = [*MATCH_KEYS, "k_nulls"], ["k_no_result", "k_result"]
+
+    same = stored.groupBy(*key, *result).agg(F.count(F.lit(1)).alias("n_same"), F.min("uid").alias("same_uid"))
+    one = F.struct(*result, "same_uid")
+    any_result = same.groupBy(*key).agg(
         F.sum("n_same").alias("n_any"), F.min(one).alias("low"), F.max(one).alias("high")
     )
-    matched = null_safe_join(keyed, any_result, MATCH_KEYS, "left")
-    matched = null_safe_join(matched, same, [*MATCH_KEYS, "k_result"], "left")
+    matched = keyed.join(any_result, key, "left").join(same, [*key, *result], "left")
 
     n_same = F.coalesce(F.col("n_same"), F.lit(0))
-    n_other = F.col("n_any") - n_same
-    other = F.when(F.col("low.result").eqNullSafe(F.col("k_result")), F.col("high")).otherwise(F.col("low"))
+    low_is_same = (F.col("low.k_no_result") == F.col("k_no_result")) & (F.col("low.k_result") == F.col("k_result"))
+    other = F.when(low_is_same, F.col("high")).otherwise(F.col("low"))
 
-    def outcome(name, count, result, uid):
+    def outcome(name: str, count: Column, no_result: Column, value: Column, uid: Column) -> Column:
         return F.struct(
             F.lit(name).alias("dup_class"), count.cast("bigint").alias("stored_matches"),
-            result.cast("double").alias("stored_result"), uid.alias("stored_uid"),
+            F.when(no_result == 0, value).alias("stored_result"), uid.alias("stored_uid"),
         )
 
-    nothing = F.lit(None)
-    uid_type = existing.schema["Result_UID"].dataType
-    outcomes = F.when(
-        F.col("n_any").isNull(), F.array(outcome(NEW, F.lit(0), nothing, nothing.cast(uid_type)))
-    ).otherwise(
-        F.filter(
-            F.array(
-                outcome(DUPLICATE, n_same, F.col("k_result"), F.col("same_uid")),
-                outcome(UPDATE, n_other, other["result"], other["uid"]),
-            ),
-            lambda o: o["stored_matches"] > 0,
-        )
+    nothing = outcome(
+        NEW, F.lit(0), F.lit(1), F.lit(None).cast("double"), F.lit(None).cast(stored.schema["uid"].dataType)
+    )
+    found = F.array(
+        outcome(DUPLICATE, n_same, F.col("k_no_result"), F.col("k_result"), F.col("same_uid")),
+        outcome(UPDATE, F.col("n_any") - n_same, other["k_no_result"], other["k_result"], other["same_uid"]),
+    )
+    outcomes = F.when(F.col("n_any").isNull(), F.array(nothing)).otherwise(
+        F.filter(found, lambda o: o["stored_matches"] > 0)
     )
     return matched.select(*new.columns, F.inline(outcomes))
 

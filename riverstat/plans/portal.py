@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import date_text, round_nearest
 from ..operators.deploy import IMPORT_NAMES, attach_instrument, deployments, import_form, with_instrument_id
-from ..operators.moving import MAX_7, MEAN_7, MEAN_30, MIN_7, MovingMean, moving
+from ..operators.moving import MAX_7, MEAN_7, MEAN_30, MIN_7, moving
 from ..operators.quality import keep_grades
 from ..operators.reshape import stack, to_statistics
 from ..operators.rollup import complete_days, daily, hourly
@@ -59,23 +59,30 @@ def _ready_made(readings: DataFrame, project: str) -> DataFrame:
     )
 
 
-def _computed(
-    readings: DataFrame, stats: list[MovingMean], characteristic: str, unit: str, method: str, project: str
-) -> DataFrame:
-    keys = ["Monitoring_Location_ID", "Equipment_ID"]
+def _computed(readings: DataFrame, project: str) -> DataFrame:
+    """Dissolved oxygen and raw temperature in one pass, the characteristic being part of the series."""
+    keys = ["Monitoring_Location_ID", "Characteristic_Name"]
+    name = F.col("Characteristic_Name")
     days = portal_days(readings, keys, "datetime", "Result_Value", "Result_Unit")
-    moved = moving(days, keys, "date", stats, bounds=("dDTmin", "dDTmax"))
+    moved = moving(days, keys, "date", [MAX_7, MEAN_7, MIN_7, MEAN_30], bounds=("dDTmin", "dDTmax"))
+    moved = moved.withColumns({
+        MAX_7.out: F.when(name == RAW_TEMPERATURE, F.col(MAX_7.out)),
+        **{s.out: F.when(name == RAW_OXYGEN, F.col(s.out)) for s in (MEAN_7, MIN_7, MEAN_30)},
+    })
     ids = [c for c in moved.columns if c not in K.STATISTIC_COLUMNS]
     basis = time_basis(F.col("StatisticalBasis"))
-    periods = {b: c for b, c in DAY_AND_MOVING.items() if c[0] in moved.columns}
-    bounds = analysis_bounds(basis, periods)
+    bounds = analysis_bounds(basis, DAY_AND_MOVING)
+
+    def by_name(oxygen: str, temperature: str) -> Column:
+        return F.when(name == RAW_OXYGEN, F.lit(oxygen)).otherwise(F.lit(temperature))
+
     return to_template(
         to_statistics(moved, ids), PORTAL,
         {
-            "charID": characteristic,
+            "charID": by_name(K.DISSOLVED_OXYGEN, K.TEMPERATURE),
             "Result": round_nearest(F.col("Result"), 2),
-            "Result_Unit": unit,
-            "Result_Analytical_Method_ID": method,
+            "Result_Unit": by_name("mg/l", "deg C"),
+            "Result_Analytical_Method_ID": by_name("NFM 6.2.1-LUM", "T-170.1"),
             "RsltTimeBasis": basis,
             "Project": project,
             "ActStartDate": date_text(F.col("date")),
@@ -92,38 +99,40 @@ def portal_stats(
     """All results of portal readings. Without usable readings every table is empty.
 
     Which stations lack a ready-made 7-day series is decided on the portal's own codes, before they are replaced.
+    An instrument is named after its location's extent, so statistics are grouped by location alone and only the pH
+    passthrough is joined to the instruments.
     """
     valued = readings.filter(F.col("Result_Value").isNotNull())
     good = keep_grades(valued, "Grade_Code", "Approval_Level", (K.GOOD_GRADE,), (K.APPROVED_LEVEL,))
-    to_compute = stations_to_compute(inventory, "station", "char").select(
-        F.col("station").alias("Monitoring_Location_ID"), F.lit(True).alias("compute")
-    )
     ids = crosswalk.select(F.col("LocationIdentifier").alias("Monitoring_Location_ID"), "MLocID")
-    located = (
-        good.join(to_compute, "Monitoring_Location_ID", "left")
-        .join(ids, "Monitoring_Location_ID", "left")
-        .withColumn("Monitoring_Location_ID", F.col("MLocID"))
-        .drop("MLocID")
-    )
+
+    def located(rows: DataFrame) -> DataFrame:
+        return (
+            rows.join(ids, "Monitoring_Location_ID", "left")
+            .withColumn("Monitoring_Location_ID", F.col("MLocID"))
+            .drop("MLocID")
+        )
 
     def deployed(rows: DataFrame, keys: list[str]) -> DataFrame:
         return import_form(
             deployments(rows, keys, "datetime", F.lit("UTC"), "1 SECOND", IMPORT_NAMES), project
         )
 
-    extents = with_instrument_id(deployed(located, ["Monitoring_Location_ID"]))
-    equipped = attach_instrument(located, extents, "Monitoring_Location_ID")
     name = F.col("Characteristic_Name")
-    raw_temperature = equipped.filter(F.col("compute") & (name == RAW_TEMPERATURE))
+    to_compute = stations_to_compute(inventory, "station", "char").select(
+        F.col("station").alias("Monitoring_Location_ID"), F.lit(RAW_TEMPERATURE).alias("raw")
+    )
+    raw = (
+        good.filter(name.isin(RAW_OXYGEN, RAW_TEMPERATURE))
+        .join(to_compute, "Monitoring_Location_ID", "left")
+        .filter((name == RAW_OXYGEN) | (name == F.col("raw")))
+    )
     sumstats = stack(
-        _computed(
-            equipped.filter(name == RAW_OXYGEN), [MEAN_7, MIN_7, MEAN_30], K.DISSOLVED_OXYGEN, "mg/l",
-            "NFM 6.2.1-LUM", project,
-        ),
-        _ready_made(equipped, project),
-        _computed(raw_temperature, [MAX_7], K.TEMPERATURE, "deg C", "T-170.1", project),
+        _computed(located(raw), project), _ready_made(located(good.filter(name == READY_MADE)), project)
     )
-    ph = equipped.filter(name == RAW_PH)
+    everywhere = located(good)
+    extents = with_instrument_id(deployed(everywhere, ["Monitoring_Location_ID"]))
+    ph = attach_instrument(everywhere.filter(name == RAW_PH), extents, "Monitoring_Location_ID")
     return {
         "deployments": extents,
         "sumstats": sumstats,

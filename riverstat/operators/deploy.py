@@ -21,12 +21,15 @@ def deployments(
     """First and last reading per key and the zone of the first one.
 
     `pad` is an interval literal added to the last reading (`5 MINUTES`); without it the deployment stays open ("").
-    Plain min/max aggregates: each partition reduces to one row per key before the shuffle.
+    The readings are reduced per key and zone by plain min/max, before the shuffle; the few rows left are then merged.
     """
     start, end, tz = names
-    last = F.lit("") if pad is None else F.max(ts) + F.expr(f"INTERVAL {pad}")
-    earliest = F.min(F.when(F.col(ts).isNotNull(), F.struct(F.col(ts).alias("t"), zone.alias("z"))))
-    return df.groupBy(*keys).agg(F.min(ts).alias(start), last.alias(end), earliest["z"].alias(tz))
+    zoned = df.groupBy(*keys, zone.alias("_zone")).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    last = F.lit("") if pad is None else F.max("_last") + F.expr(f"INTERVAL {pad}")
+    earliest = F.min(F.when(F.col("_first").isNotNull(), F.struct("_first", "_zone")))
+    return zoned.groupBy(*keys).agg(
+        F.min("_first").alias(start), last.alias(end), earliest["_zone"].alias(tz)
+    )
 
 
 def import_form(df: DataFrame, project: str) -> DataFrame:

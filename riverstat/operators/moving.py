@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import mean_from, mean_parts
+from ..functions import mean_from, mean_of, mean_parts
 
 
 @dataclass(frozen=True)
@@ -62,3 +62,23 @@ def moving(
     dated = df.filter(F.col(day).isNotNull())
     helpers = [name for name in parts if name.startswith("_")]
     return dated.withColumns(parts).withColumns(rules).drop(*helpers)
+
+
+def day_cells(
+    df: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], carried: Sequence[str] = ()
+) -> DataFrame:
+    """Daily grain of a table that comes with one row per series and day.
+
+    A day that occurs more than once counts once, with the mean of its values (NULL if one of them is) and the smallest
+    of the `carried` texts. This keeps the windows bounded by the calendar whatever the table holds, and the rows of a
+    series that dominates the table are reduced before they meet.
+    """
+    rows = F.count(F.lit(1))
+    return (
+        df.filter(F.col(day).isNotNull())
+        .groupBy(*keys, day)
+        .agg(
+            *(F.when(F.count(v) == rows, mean_of(F.col(v))).alias(v) for v in values),
+            *(F.min(c).alias(c) for c in carried),
+        )
+    )

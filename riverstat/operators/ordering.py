@@ -11,30 +11,36 @@ from ..session import ensure_checkpoint_dir
 from .joins import null_safe_join
 
 
-def running_total(df: DataFrame, order: Sequence[str], amount: str, group: Sequence[str] = ()) -> DataFrame:
-    """Add `running`: the total of `amount` up to and including the row, per `group`, in `order`.
+def place_in_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Cut the rows into even slices of a global order, numbered in `_slice`.
 
-    `order` starts with `group` and identifies a row, so range partitioning cuts the rows into even slices whatever
-    the sizes of the groups. Each slice is summed on its own; what went before it comes from one row per slice (and
-    group in it). The placed rows are checkpointed: the slice bounds are sampled, and every use has to see the same ones.
+    `order` identifies a row, so no value can dominate a slice. The result is checkpointed: the slice bounds are sampled,
+    and every use has to see the same ones, also after the loss of an executor.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    return df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
 
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*group, "_slice")
-        .agg(F.sum(amount).alias("_total"))
-        .select(*group, "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+
+def running_total(placed: DataFrame, order: Sequence[str], amount: str, group: Sequence[str] = ()) -> DataFrame:
+    """Add `running`, the total of `amount` up to and including the row, and `total`, that of its whole group.
+
+    `placed` comes from `place_in_slices` with an order that starts with `group`. Each slice is summed on its own; what
+    went before it, and the group's total, come from one row per slice and group in it.
+    """
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = placed.groupBy(*group, "_slice").agg(F.sum(amount).alias("_sum")).select(
+        *group, "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(whole).alias("total"),
     )
     in_slice = (
         Window.partitionBy("_slice", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = placed.withColumn("_inside", F.sum(amount).over(in_slice))
     return (
-        null_safe_join(summed, offsets, [*group, "_slice"])
-        .withColumn("running", F.col("_inside") + F.col("_offset"))
-        .drop("_slice", "_inside", "_offset")
+        null_safe_join(summed, per_slice, [*group, "_slice"])
+        .withColumn("running", F.col("_inside") + F.col("_before"))
+        .drop("_slice", "_inside", "_before")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .ordering import running_total
+from .ordering import place_in_slices, running_total
 
 # Rows of input that one block of groups covers; a block holds at most this many groups.
 BLOCK_ROWS = 1_000_000
@@ -29,7 +29,8 @@ def file_numbers(df: DataFrame, key: str, size: int, block_rows: int = BLOCK_ROW
     width = span * max(1, block_rows // span)
     keys = df.select(F.col(key).alias("group_key")).filter(F.col("group_key").isNotNull())
     counts = keys.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
-    groups = running_total(counts, ["group_key"], "n")
+    order = ["group_key"]
+    groups = running_total(place_in_slices(counts, order), order, "n")
     groups = groups.select("group_key", (F.col("running") - F.col("n")).alias("begin"))
     groups = groups.withColumn("block", F.expr(f"begin div {width}L"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import round_nearest
 from .joins import null_safe_join
-from .ordering import running_total
+from .ordering import place_in_slices, running_total
 
 
 def status_share(df: DataFrame, status: str) -> DataFrame:
@@ -28,9 +28,8 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     cells = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    ranked = running_total(cells, [*keys, "v"], "n", group=keys)
-    sizes = ranked.groupBy(*keys).agg(F.sum("n").alias("size"))
-    placed = null_safe_join(ranked, sizes, keys)
+    cells = place_in_slices(cells, [*keys, "v"])
+    ranked = running_total(cells, [*keys, "v"], "n", group=keys).withColumnRenamed("total", "size")
 
     quantiles = {"minimum": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "maximum": 1.0}
     found = []
@@ -39,7 +38,7 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             holds = (rank >= F.col("running") - F.col("n")) & (rank < F.col("running"))
             found.append(F.max(F.when(holds, F.col("v"))).alias(f"{name}_{side}"))
-    corners = placed.groupBy(*keys).agg(F.max("size").alias("size"), *found)
+    corners = ranked.groupBy(*keys).agg(F.max("size").alias("size"), *found)
     boxes = corners.select(
         *keys,
         "size",
@@ -54,7 +53,7 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     )
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = (F.col("v") >= F.col("q1") - reach) & (F.col("v") <= F.col("q3") + reach)
-    spread = null_safe_join(ranked, boxes.drop("size"), keys)
+    spread = null_safe_join(cells, boxes.drop("size"), keys)
     return spread.groupBy(*keys, *quantiles).agg(
         F.sum("n").alias("n"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
@@ -79,9 +78,13 @@ def stations_to_compute(inventory: DataFrame, station: str, characteristic: str)
 
 
 def site_extent(df: DataFrame, site: str, date: str, characteristic: str) -> DataFrame:
-    """Per site: first and last date and the set of its characteristics (names from a fixed vocabulary)."""
-    return df.groupBy(site).agg(
-        F.min(date).alias("min_date"),
-        F.max(date).alias("max_date"),
+    """Per site: first and last date and the names of its characteristics.
+
+    Reduced to one row per site and name first, so only distinct names of a fixed vocabulary are gathered.
+    """
+    named = df.groupBy(site, characteristic).agg(F.min(date).alias("first"), F.max(date).alias("last"))
+    return named.groupBy(site).agg(
+        F.min("first").alias("min_date"),
+        F.max("last").alias("max_date"),
         F.array_join(F.sort_array(F.collect_set(characteristic)), ", ").alias("chars"),
     )

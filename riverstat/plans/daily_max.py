@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import activity_id, mdy_date, round_nearest
-from ..operators.moving import MovingMean, moving
-from ..operators.reshape import to_statistics
+from ..operators.moving import MovingMean, day_cells, moving
+from ..operators.reshape import stack
 from ..operators.template import DAILY_MAX, analysis_bounds, time_basis, to_template
 
 
@@ -17,31 +17,38 @@ def published(df: DataFrame) -> DataFrame:
 
 
 def daily_max_temperature(df: DataFrame, project: str = "") -> DataFrame:
-    """Template rows of daily maxima (`station_nbr, record_date, Result_Value`, one row per station and date)."""
-    dated = df.select("station_nbr", mdy_date(F.col("record_date")).alias("Date"), "Result_Value")
+    """Template rows of daily maxima (`station_nbr, record_date, Result_Value`) and of the 7-day means over them."""
+    keys, day = ["station_nbr"], "Date"
+    dated = df.select(*keys, mdy_date(F.col("record_date")).alias(day), "Result_Value")
+    cells = day_cells(dated, keys, day, ["Result_Value"])
     moved = moving(
-        dated, ["station_nbr"], "Date", [MovingMean("ma_max7", "Result_Value", 7)], bounds=("Date", "Date"),
-        null_poison=True,
+        cells, keys, day, [MovingMean("ma_max7", "Result_Value", 7)], bounds=(day, day), null_poison=True
     )
-    long = to_statistics(
-        moved, ["station_nbr", "Date", "ana_startdate7", "ana_enddate7"],
-        {"Result_Value": K.DAILY_MAX, "ma_max7": K.MOVING_MAX_7},
-    )
-    basis = time_basis(F.col("StatisticalBasis"))
-    return to_template(
-        long, DAILY_MAX,
-        {
-            "CharID": K.TEMPERATURE,
-            "Result": round_nearest(F.col("Result"), 1),
-            "Unit": "deg C",
-            "Method": "T-170.1",
-            "RsltTimeBasis": basis,
-            "DEQ_RsltComment": F.when(basis != "1 Day", F.lit(K.GENERATED_COMMENT)).otherwise(F.lit("")),
-            "SiteID": F.col("station_nbr"),
-            "Project": project,
-            "ActStartDate": F.col("Date"),
-            "ActEndDate": F.col("Date"),
-            "ActivityID": activity_id(F.col("station_nbr"), F.col("Date"), F.lit("FMC")),
-            **analysis_bounds(basis, {"1 Day": ("Date", "Date"), "7 Day": ("ana_startdate7", "ana_enddate7")}),
-        },
+    periods = {"1 Day": (day, day), "7 Day": ("ana_startdate7", "ana_enddate7")}
+
+    def template(long: DataFrame, name: str, comment: str) -> DataFrame:
+        basis = time_basis(F.lit(name))
+        ranges = {b: c for b, c in periods.items() if c[0] in long.columns}
+        return to_template(
+            long.filter(F.col("Result").isNotNull()), DAILY_MAX,
+            {
+                "CharID": K.TEMPERATURE,
+                "Result": round_nearest(F.col("Result"), 1),
+                "Unit": "deg C",
+                "Method": "T-170.1",
+                "StatisticalBasis": name,
+                "RsltTimeBasis": basis,
+                "DEQ_RsltComment": comment,
+                "SiteID": F.col("station_nbr"),
+                "Project": project,
+                "ActStartDate": F.col(day),
+                "ActEndDate": F.col(day),
+                "ActivityID": activity_id(F.col("station_nbr"), F.col(day), F.lit("FMC")),
+                **analysis_bounds(basis, ranges),
+            },
+        )
+
+    return stack(
+        template(dated.withColumnRenamed("Result_Value", "Result"), K.DAILY_MAX, ""),
+        template(moved.withColumnRenamed("ma_max7", "Result"), K.MOVING_MAX_7, K.GENERATED_COMMENT),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import activity_id, lookup, null_to_blank, round_nearest
 from ..operators.deploy import IMPORT_NAMES, deployments, import_form, instrument_is_location
-from ..operators.moving import MovingMean, moving
+from ..operators.moving import MovingMean, day_cells, moving
 from ..operators.quality import drop_qualifiers, keep_site_types
 from ..operators.reconcile import check_duplicates
 from ..operators.reshape import flagged_long, stack
@@ -38,37 +38,44 @@ def daily_value_template(
     values: DataFrame, characteristic: str, unit: str, method: str, project: str,
     moving_means: tuple[MovingMean, ...], pairs: dict[str, tuple[str, str]],
 ) -> DataFrame:
-    """Template rows of one parameter's daily values (one row per site and date, as the service keeps them).
+    """Template rows of one parameter's daily values: the values themselves, and the moving means over them.
 
     A statistic carries the qualifier of the daily value it is made of. A day that lacks a value leaves the moving mean
-    of every frame it is in empty.
+    of every frame it is in empty. The values pass through without a shuffle; only the columns the means need are moved.
     """
-    moved = moving(values, ["site_no"], "Date", moving_means, bounds=("Date", "Date"), null_poison=True)
-    ranges = [f"ana_{side}{s.days}" for s in moving_means for side in ("startdate", "enddate")]
-    ids = ["site_no", "Date", *dict.fromkeys(ranges)]
-    long = flagged_long(moved, ids, pairs, "StatisticalBasis", "Result", "Qualcd")
-    basis = time_basis(F.col("StatisticalBasis"))
-    periods = {"1 Day": ("Date", "Date")}
-    for s in moving_means:
-        periods[f"{s.days} Day"] = (f"ana_startdate{s.days}", f"ana_enddate{s.days}")
-    rows = to_template(
-        long, DAILY_VALUE,
-        {
-            "CharID": characteristic,
-            "Result": round_nearest(F.col("Result"), 1),
-            "Unit": unit,
-            "Method": method,
-            "RsltTimeBasis": basis,
-            "DEQ_RsltComment": F.when(basis != "1 Day", F.lit(K.GENERATED_COMMENT)).otherwise(F.lit("")),
-            "SiteID": F.col("site_no"),
-            "Project": project,
-            "ActStartDate": F.col("Date"),
-            "ActEndDate": F.col("Date"),
-            "ActivityID": activity_id(F.col("site_no"), F.col("Date"), F.lit("FMC")),
-            **analysis_bounds(basis, periods),
-        },
-    )
-    return drop_qualifiers(rows, "Qualcd")
+    computed = {s.out for s in moving_means}
+    daily_pairs = {n: p for n, p in pairs.items() if p[0] not in computed}
+    moving_pairs = {n: p for n, p in pairs.items() if p[0] in computed}
+    flags = list(dict.fromkeys(flag for _, flag in moving_pairs.values()))
+    cells = day_cells(values, ["site_no"], "Date", list(dict.fromkeys(s.value for s in moving_means)), flags)
+    moved = moving(cells, ["site_no"], "Date", moving_means, bounds=("Date", "Date"), null_poison=True)
+    periods = {f"{s.days} Day": (f"ana_startdate{s.days}", f"ana_enddate{s.days}") for s in moving_means}
+    ids = ["site_no", "Date"]
+    bounds = [c for pair in periods.values() for c in pair]
+
+    def template(long: DataFrame, comment: str, ranges: dict[str, tuple[str, str]]) -> DataFrame:
+        basis = time_basis(F.col("StatisticalBasis"))
+        return to_template(
+            drop_qualifiers(long, "Qualcd"), DAILY_VALUE,
+            {
+                "CharID": characteristic,
+                "Result": round_nearest(F.col("Result"), 1),
+                "Unit": unit,
+                "Method": method,
+                "RsltTimeBasis": basis,
+                "DEQ_RsltComment": comment,
+                "SiteID": F.col("site_no"),
+                "Project": project,
+                "ActStartDate": F.col("Date"),
+                "ActEndDate": F.col("Date"),
+                "ActivityID": activity_id(F.col("site_no"), F.col("Date"), F.lit("FMC")),
+                **analysis_bounds(basis, ranges),
+            },
+        )
+
+    own = flagged_long(values, ids, daily_pairs, "StatisticalBasis", "Result", "Qualcd")
+    means = flagged_long(moved, [*ids, *bounds], moving_pairs, "StatisticalBasis", "Result", "Qualcd")
+    return stack(template(own, "", {"1 Day": ("Date", "Date")}), template(means, K.GENERATED_COMMENT, periods))
 
 
 def site_records(sites: DataFrame, counties: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from riverstat.operators.moving import MEAN_30, MovingMean, moving
+from riverstat.operators.moving import MEAN_30, MovingMean, day_cells, moving
 from riverstat.operators.rollup import daily, hourly
 
 DAY = dt.date(2020, 7, 1)
@@ -96,3 +96,23 @@ def test_two_shuffles_from_readings_to_moving_means(spark):
     plan = moving(days, ["station"], "date", [MAX, MEAN_30])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2
     assert plan.count("+- Window") == 1
+
+
+def test_repeated_days_count_once(spark):
+    once = series(spark, range(9))
+    twice = once.union(once)
+    cells = day_cells(twice, ["station"], "date", ["dyMax"])
+    assert result(moving(cells, ["station"], "date", [MAX])) == result(moving(once, ["station"], "date", [MAX]))
+    mixed = day_cells(series(spark, [0, 0, 1, 1], [1.0, 3.0, 5.0, None]), ["station"], "date", ["dyMax"])
+    assert result(mixed, "dyMax") == [2.0, None]
+
+
+def test_dominating_station_is_reduced_to_its_days(spark):
+    df = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("station"),
+        F.date_add(F.lit(DAY), (F.col("id") % 40).cast("int")).alias("date"), F.lit(1.0).alias("dyMax"),
+    )
+    cells = day_cells(df, ["station"], "date", ["dyMax"])
+    assert cells.groupBy("station").count().agg(F.max("count")).first()[0] <= 40
+    hot = moving(cells, ["station"], "date", [MAX]).filter("station = 'hot'")
+    assert hot.filter("ma_max7 = 1.0").count() == 34

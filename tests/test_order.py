@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riverstat.operators.ordering import running_total
+from riverstat.operators.ordering import place_in_slices, running_total
 from riverstat.operators.split import bounded_split, file_numbers
 from riverstat.operators.summary import status_share, value_distribution
 
@@ -71,9 +71,11 @@ def test_running_total(spark):
     rng = random.Random(2)
     rows = [(rng.choice(["a", "b", None]), i, rng.randint(1, 9)) for i in range(400)]
     df = spark.createDataFrame(rows, "g string, o int, n int")
-    got = {(r.g, r.o): r.running for r in running_total(df, ["g", "o"], "n", group=["g"]).collect()}
+    order = ["g", "o"]
+    got = {(r.g, r.o): r for r in running_total(place_in_slices(df, order), order, "n", group=["g"]).collect()}
     for g, o, _ in rows:
-        assert got[g, o] == sum(n for h, p, n in rows if h == g and p <= o)
+        assert got[g, o].running == sum(n for h, p, n in rows if h == g and p <= o)
+        assert got[g, o].total == sum(n for h, _, n in rows if h == g)
 
 
 def test_distribution_equals_numpy(spark):

@@ -33,10 +33,10 @@ _PORTAL_URL = "https://data.example/Export/DataSet?"
 
 @query("deployments", """
 SELECT CAST(user_id AS VARCHAR) AS "Monitoring_Location_ID", min(ts) AS "Activity_start_date_time",
-       max(ts) + INTERVAL 1 SECOND AS "Activity_end_date_time", arg_min(event_type, ts) AS "Activity_start_end_time_Zone",
+       max(ts) + INTERVAL 1 SECOND AS "Activity_end_date_time", arg_min_null(event_type, ts) AS "Activity_start_end_time_Zone",
        'Water' AS "Media", 'Surface Water' AS "Media_subdivision", 'Call' AS "Project_ID",
        '' AS "Alternate_Project_ID", '' AS "Alternate_Project_ID2", '' AS "Frequency_on_minutes", '' AS "Depth_in_m",
-       user_id || '-' || strftime(min(ts), '%Y%m') || '-' || strftime(max(ts) + INTERVAL 1 SECOND, '%Y%m')
+       concat_ws('-', user_id, strftime(min(ts), '%Y%m'), strftime(max(ts) + INTERVAL 1 SECOND, '%Y%m'))
            AS "Equipment_ID"
 FROM events GROUP BY user_id""")
 def deployed(t: Tables) -> DataFrame:
@@ -66,8 +66,8 @@ def first_of_user(t: Tables) -> DataFrame:
 
 
 @query("attach_instrument", """
-SELECT event_id, user_id || '-' || event_type AS series,
-       user_id || '-' || strftime(min(ts) OVER u, '%Y%m') || '-' || strftime(max(ts) OVER u, '%Y%m') AS "Equipment_ID",
+SELECT event_id, concat_ws('-', user_id, event_type) AS series,
+       concat_ws('-', user_id, strftime(min(ts) OVER u, '%Y%m'), strftime(max(ts) OVER u, '%Y%m')) AS "Equipment_ID",
        CAST(user_id AS VARCHAR) AS same
 FROM events WINDOW u AS (PARTITION BY user_id)""")
 def attach(t: Tables) -> DataFrame:
@@ -118,8 +118,8 @@ WITH s AS (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'ST' WHEN 'AUTOMOBIL
                   WHEN 'HOUSEHOLD' THEN 'OC' END AS tp FROM customer),
 k AS (SELECT *, CASE tp WHEN 'ST' THEN 'River/Stream' WHEN 'GW' THEN 'Well' WHEN 'LK' THEN 'Lake' ELSE 'ERROR' END
           AS kind FROM s)
-SELECT CAST(c_custkey AS VARCHAR) AS "Stationkey", c_name AS "Desc", kind AS "MonLocType",
-       coalesce(n_name, '') AS "COUNTY", 'OR' AS "STATE", 'US' AS "Country", c_mktsegment AS "HUC8", '' AS "Lat",
+SELECT CAST(c_custkey AS VARCHAR) AS "Stationkey", coalesce(c_name, '') AS "Desc", kind AS "MonLocType",
+       coalesce(n_name, '') AS "COUNTY", 'OR' AS "STATE", 'US' AS "Country", coalesce(c_mktsegment, '') AS "HUC8", '' AS "Lat",
        '' AS "Long", 'NAD83' AS "Datum", 'Interpolation-Digital Map Source' AS "CollMethod", '' AS "MapScale",
        CASE kind WHEN 'Well' THEN 'Monitoring' ELSE '' END AS "WellType",
        CASE kind WHEN 'Well' THEN c_mktsegment ELSE '' END AS "WellAquiferName",

@@ -25,6 +25,7 @@ from .registry import (
     STATISTICS,
     STATUS_SQL,
     Tables,
+    boxes_sql,
     days_sql,
     hours_sql,
     long_sql,
@@ -68,11 +69,11 @@ def submitted(t: Tables, location) -> DataFrame:
 def submitted_sql(location: str) -> str:
     return f"""src AS (
     SELECT {location} AS loc, {case_sql('event_type', _CHAR)} AS char, {case_sql('event_type', _UNIT)} AS unit,
-           date_trunc('second', ts) AS datetime, value FROM events WHERE value <= 200),
+           date_trunc('second', ts) AS datetime, value FROM events WHERE (value > 200) IS NOT TRUE),
 rd AS (SELECT loc, char, unit, CASE unit WHEN 'deg F' THEN 'deg C' ELSE unit END AS r_units, datetime,
               CASE WHEN unit = 'deg F'
                    THEN {round_sql('(value - 32) * (CAST(5 AS DOUBLE) / CAST(9 AS DOUBLE))', 2)}
-                   ELSE value END AS r FROM src)"""
+                   WHEN unit IS NOT NULL THEN value END AS r FROM src)"""
 
 
 def statistics_sql(keys: str) -> str:
@@ -121,13 +122,9 @@ def submission_deployed(t: Tables) -> DataFrame:
 
 
 @query("submission_distribution", f"""
-WITH {submitted_sql('event_type')},
-q AS (SELECT char, loc, quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS median, quantile_cont(r, 0.75) AS q3,
-             min(r) AS minimum, max(r) AS maximum FROM rd WHERE r IS NOT NULL GROUP BY char, loc),
-x AS (SELECT q.*, r, r >= q1 - 1.5 * (q3 - q1) AND r <= q3 + 1.5 * (q3 - q1) AS inside
-      FROM rd JOIN q USING (char, loc) WHERE r IS NOT NULL)
+WITH {submitted_sql('event_type')}, {boxes_sql('rd', 'char, loc', 'r')}
 SELECT char AS "Characteristic_Name", loc AS "Monitoring_Location_ID", minimum, q1, median, q3, maximum, count(*) AS n,
-       min(r) FILTER (inside) AS whisker_low, max(r) FILTER (inside) AS whisker_high,
+       min(v) FILTER (inside) AS whisker_low, max(v) FILTER (inside) AS whisker_high,
        count(*) FILTER (NOT inside) AS outliers
 FROM x GROUP BY char, loc, minimum, q1, median, q3, maximum""")
 def submission_spread(t: Tables) -> DataFrame:
@@ -141,7 +138,7 @@ _LOGGER_CHAR = {"Temp": K.TEMPERATURE, "DO_mgl": K.DISSOLVED_OXYGEN}
 
 @query("logger_stats", f"""
 WITH lo AS (SELECT event_type AS loc, 'Temp' AS parameter, date_trunc('minute', ts) AS datetime, value AS r FROM events
-            WHERE value <= 200 UNION ALL
+            WHERE (value > 200) IS NOT TRUE UNION ALL
             SELECT event_type, 'DO_mgl', date_trunc('minute', ts), value FROM events),
 hr AS ({hours_sql('lo', 'loc, parameter', 'datetime', 'r')}), dy AS ({days_sql('hr', 'loc, parameter')}),
 kp AS (SELECT *, row_number() OVER (PARTITION BY loc, parameter ORDER BY date) AS row FROM dy WHERE hrNday >= 22),
@@ -213,12 +210,12 @@ SELECT 'Dissolved oxygen (DO)' AS "CharID", {round_sql('Result', 1)} AS "Result"
        '0:00' AS "ActEndTime", 'UTC' AS "ActEndTimeZone", {bounds_sql('start', '%Y-%m-%d')} AS "AnaStartDate",
        {bounds_sql('start', '%H:%M:%S')} AS "AnaStartTime", 'UTC' AS "AnaStartTimeZone",
        {bounds_sql('end', '%Y-%m-%d')} AS "AnaEndDate", {bounds_sql('end', '%H:%M:%S')} AS "AnaEndTime",
-       'UTC' AS "AnaEndTimeZone", '' AS "ActComment", site || ':' || strftime(date, '%Y%m%d') || ':FMC' AS "ActivityID"
+       'UTC' AS "AnaEndTimeZone", '' AS "ActComment", concat_ws(':', site, strftime(date, '%Y%m%d'), 'FMC') AS "ActivityID"
 FROM bs""")
 def daily_values(t: Tables) -> DataFrame:
     low = F.col("dyMin")
-    values = ship_days(t).select(
-        F.concat("l_returnflag", "l_linestatus").alias("site_no"), F.col("date").alias("Date"),
+    values = ship_days(t, "site_no").select(
+        "site_no", F.col("date").alias("Date"),
         F.col("dyMax").alias("DO_Max"), F.when(F.col("dyMax") != 50, F.lit("P")).alias("DO_Max_cd"),
         F.col("dyMean").alias("DO"), F.lit("A").alias("DO_cd"),
         F.nullif(low, F.lit(1.0)).alias("DO_Min"),
@@ -234,7 +231,7 @@ def daily_values(t: Tables) -> DataFrame:
 WITH dy AS (SELECT l_returnflag AS site, CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS dyMax
             FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL),
 rn AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY date) AS row FROM dy),
-mv AS (SELECT *, {moving_sql('dyMax', 7)} AS ma_max7, min(date) OVER f7 AS a7, max(date) OVER f7 AS b7
+mv AS (SELECT *, {_poison('dyMax', 7)} AS ma_max7, min(date) OVER f7 AS a7, max(date) OVER f7 AS b7
        FROM rn {windows_sql('site', 'date', 7)}),
 lg AS ({long_sql('mv', 'site, date, a7, b7', {'dyMax': 'Daily Maximum', 'ma_max7': '7DMADMax'})})
 SELECT 'Temperature, water' AS "CharID", {round_sql('Result', 1)} AS "Result", 'deg C' AS "Unit", 'T-170.1' AS "Method",
@@ -246,10 +243,10 @@ SELECT 'Temperature, water' AS "CharID", {round_sql('Result', 1)} AS "Result", '
        '0:00' AS "ActStartTime", 'PST' AS "ActStartTimeZone", strftime(date, '%Y-%m-%d') AS "ActEndDate",
        '0:00' AS "ActEndTime", 'PST' AS "ActEndTimeZone",
        strftime(CASE StatisticalBasis WHEN '7DMADMax' THEN a7 ELSE date END, '%Y-%m-%d') AS "AnaStartDate",
-       '00:00:00' AS "AnaStartTime", 'PST' AS "AnaStartTimeZone",
+       strftime(date, '%H:%M:%S') AS "AnaStartTime", 'PST' AS "AnaStartTimeZone",
        strftime(CASE StatisticalBasis WHEN '7DMADMax' THEN b7 ELSE date END, '%Y-%m-%d') AS "AnaEndDate",
-       '00:00:00' AS "AnaEndTime", 'PST' AS "AnaEndTimeZone", '' AS "ActComment",
-       site || ':' || strftime(date, '%Y%m%d') || ':FMC' AS "ActivityID"
+       strftime(date, '%H:%M:%S') AS "AnaEndTime", 'PST' AS "AnaEndTimeZone", '' AS "ActComment",
+       concat_ws(':', site, strftime(date, '%Y%m%d'), 'FMC') AS "ActivityID"
 FROM lg""")
 def daily_max(t: Tables) -> DataFrame:
     days = ship_days(t).select(
@@ -340,7 +337,7 @@ _JSON_CHAR = {"click": "Temperature", "view": "Dissolved oxygen", "purchase": "p
 @query("portal_json_stats", f"""
 WITH rd AS (SELECT 'PDX_BES-' || user_id AS loc, {case_sql('event_type', _JSON_CHAR)} AS char,
                    date_trunc('second', ts) AS ts, value, props FROM events
-            WHERE value <= 200 AND CAST(ts AS DATE) BETWEEN DATE '2024-02-01' - INTERVAL 30 DAYS AND DATE '2024-02-10'),
+            WHERE (value > 200) IS NOT TRUE AND CAST(ts AS DATE) BETWEEN DATE '2024-02-01' - INTERVAL 30 DAYS AND DATE '2024-02-10'),
 oxy AS (SELECT 'PDX_BES-FC8' AS loc, ts, value FROM rd WHERE char = 'Dissolved oxygen'),
 hr AS ({hours_sql('oxy', 'loc', 'ts', 'value')}), dy AS ({days_sql('hr', 'loc')}),
 kp AS (SELECT *, row_number() OVER (PARTITION BY loc ORDER BY date) AS row FROM dy WHERE hrNday >= 22),
@@ -358,7 +355,7 @@ SELECT * EXCLUDE (day), {_PORTAL_COMMON}, 'PST' AS "ActStartTimeZone", 'PST' AS
        '' AS "AnaStartDate", '' AS "AnaStartTime", '' AS "AnaStartTimeZone", '' AS "AnaEndDate", '' AS "AnaEndTime",
        '' AS "AnaEndTimeZone", 'Integrated Report - Call for Data' AS "Project",
        strftime(day, '%Y-%m-%d') AS "ActStartDate", strftime(day, '%Y-%m-%d') AS "ActEndDate",
-       "Monitoring_Location_ID" || ':' || strftime(day, '%Y%m%d') || ':FMC' AS "ActivityID"
+       concat_ws(':', "Monitoring_Location_ID", strftime(day, '%Y%m%d'), 'FMC') AS "ActivityID"
 FROM al""")
 def portal_json(t: Tables) -> DataFrame:
     kind = F.col("event_type")

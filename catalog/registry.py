@@ -88,6 +88,23 @@ def days_sql(hours: str, keys: str) -> str:
     )
 
 
+def boxes_sql(source: str, keys: str, value: str) -> str:
+    """CTEs `q` (quartiles per key, interpolated between the two neighbouring values) and `x` (values with `inside`)."""
+
+    def quantile(p: float) -> str:
+        low, high = f"s[CAST(floor(h * {p}) AS BIGINT) + 1]", f"s[CAST(ceil(h * {p}) AS BIGINT) + 1]"
+        share = f"(h * {p} - floor(h * {p}))"
+        return f"CASE WHEN {low} = {high} THEN {low} ELSE (1 - {share}) * {low} + {share} * {high} END"
+
+    same = " AND ".join(f"t.{k} IS NOT DISTINCT FROM q.{k}" for k in keys.split(", "))
+    return f"""l AS (SELECT {keys}, list_sort(list({value})) AS s, CAST(count(*) - 1 AS DOUBLE) AS h FROM {source}
+      WHERE {value} IS NOT NULL GROUP BY {keys}),
+q AS (SELECT {keys}, {quantile(0.25)} AS q1, {quantile(0.5)} AS median, {quantile(0.75)} AS q3, s[1] AS minimum,
+             s[-1] AS maximum FROM l),
+x AS (SELECT q.*, t.{value} AS v, t.{value} >= q1 - 1.5e0 * (q3 - q1) AND t.{value} <= q3 + 1.5e0 * (q3 - q1) AS inside
+      FROM {source} t JOIN q ON {same} WHERE t.{value} IS NOT NULL)"""
+
+
 STATUS_SQL = "CASE WHEN hrNday >= 22 THEN 'Final' ELSE 'Rejected' END"
 COMMENT_SQL = (
     "CASE WHEN hrNday >= 22 THEN 'Generated by ORDEQ'"

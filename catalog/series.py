@@ -50,7 +50,7 @@ USER_HOURS = hours_sql("events", "user_id, event_type", "ts", "value")
 
 @query("daily_completeness", f"""
 WITH u AS ({USER_HOURS}), e AS ({EVENT_HOURS}),
-     dy AS (SELECT CAST(user_id AS VARCHAR) || '-' || event_type AS series, date, hrNday
+     dy AS (SELECT concat_ws('-', user_id, event_type) AS series, date, hrNday
             FROM ({days_sql('u', 'user_id, event_type')})
             UNION ALL SELECT event_type, date, hrNday FROM ({days_sql('e', 'event_type')}))
 SELECT series, strftime(date, '%Y-%m-%d') AS date, hrNday, {STATUS_SQL} AS ResultStatusID, {COMMENT_SQL} AS cmnt
@@ -78,14 +78,15 @@ SHIP_KEYS_SQL = "l_returnflag, l_linestatus"
 SHIP_DAYS = f"""dy AS (
     SELECT {SHIP_KEYS_SQL}, CAST(l_shipdate AS DATE) AS date, min(l_shipdate) AS dDTmin, max(l_shipdate) AS dDTmax,
            max(l_quantity) AS dyMax, min(l_quantity) AS dyMin, {mean_sql('l_quantity')} AS dyMean
-    FROM lineitem GROUP BY ALL),
+    FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL),
 rn AS (SELECT *, row_number() OVER (PARTITION BY {SHIP_KEYS_SQL} ORDER BY date) AS row FROM dy)"""
 SHIP_WINDOWS = windows_sql(SHIP_KEYS_SQL, "date", 7, 30)
 
 
-def ship_days(t: Tables, keys: list[str] | None = None) -> DataFrame:
+def ship_days(t: Tables, *keys: str) -> DataFrame:
     q = F.col("l_quantity")
-    return t.lineitem.groupBy(*(keys or SHIP_KEYS), F.to_date("l_shipdate").alias("date")).agg(
+    lines = t.lineitem.withColumn("site_no", F.concat("l_returnflag", "l_linestatus"))
+    return lines.groupBy(*(keys or SHIP_KEYS), F.to_date("l_shipdate").alias("date")).agg(
         F.min("l_shipdate").alias("dDTmin"), F.max("l_shipdate").alias("dDTmax"), F.max(q).alias("dyMax"),
         F.min(q).alias("dyMin"), mean_of(q).alias("dyMean"),
     )

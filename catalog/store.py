@@ -63,8 +63,8 @@ WITH n AS ({NEW_SQL}), e AS ({STORE_SQL})
 SELECT n.o_orderkey, CASE WHEN e.uid IS NULL THEN 'new' WHEN n.result IS NOT DISTINCT FROM e.result
             THEN 'suspected duplicate' ELSE 'suspected update' END AS dup_class, e.result AS stored_result,
        CAST(e.uid AS VARCHAR) AS stored_uid, CASE WHEN e.uid IS NULL THEN 0 ELSE 1 END AS stored_matches
-FROM n LEFT JOIN e ON n.site = e.site AND n.char = e.char AND n.day = e.day AND e.time = '00:00'
-     AND n.method = e.method AND nullif(n.depth, '') IS NOT DISTINCT FROM e.depth AND e.stat = 'Maximum'""")
+FROM n LEFT JOIN e ON n.site IS NOT DISTINCT FROM e.site AND n.char IS NOT DISTINCT FROM e.char
+     AND n.day IS NOT DISTINCT FROM e.day AND e.time = '00:00' AND n.method = e.method AND nullif(n.depth, '') IS NOT DISTINCT FROM e.depth AND e.stat = 'Maximum'""")
 def dup_classify(t: Tables) -> DataFrame:
     classified = classify_duplicates(new_results(t), stored(t))
     return classified.select(
@@ -80,7 +80,10 @@ e AS (SELECT site, char, day, result FROM n WHERE result <> 50),
 s AS (SELECT site, char, day, result, count(*) AS k FROM e GROUP BY ALL),
 a AS (SELECT site, char, day, sum(k) AS k FROM s GROUP BY ALL),
 m AS (SELECT n.*, coalesce(s.k, 0) AS same, coalesce(a.k, 0) AS any_k
-      FROM n LEFT JOIN a USING (site, char, day) LEFT JOIN s USING (site, char, day, result))
+      FROM n LEFT JOIN a ON a.site IS NOT DISTINCT FROM n.site AND a.char IS NOT DISTINCT FROM n.char
+                        AND a.day IS NOT DISTINCT FROM n.day
+             LEFT JOIN s ON s.site IS NOT DISTINCT FROM n.site AND s.char IS NOT DISTINCT FROM n.char
+                        AND s.day IS NOT DISTINCT FROM n.day AND s.result IS NOT DISTINCT FROM n.result)
 SELECT l_orderkey, l_linenumber, 'new' AS dup_class, 0 AS stored_matches FROM m WHERE any_k = 0
 UNION ALL SELECT l_orderkey, l_linenumber, 'suspected duplicate', CAST(same AS INTEGER) FROM m WHERE same > 0
 UNION ALL SELECT l_orderkey, l_linenumber, 'suspected update', CAST(any_k - same AS INTEGER) FROM m WHERE any_k > same""")

@@ -35,7 +35,7 @@ from riverstat.operators.reconcile import from_store_statistic, to_store_statist
 from riverstat.operators.summary import status_share, value_distribution
 from riverstat.operators.template import continuous_ph
 
-from .registry import Tables, query, round_sql
+from .registry import Tables, boxes_sql, query, round_sql
 
 _UNIT = {"click": "deg F", "view": "deg C", "purchase": "mg/l", "signup": "deg F"}
 _UNIT_SQL = "CASE event_type WHEN 'error' THEN NULL " + " ".join(
@@ -61,14 +61,10 @@ def share(t: Tables) -> DataFrame:
     return status_share(t.orders, "o_orderstatus")
 
 
-@query("value_distribution", """
-WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
-                  quantile_cont(value, 0.75) AS q3, min(value) AS minimum, max(value) AS maximum
-           FROM events WHERE value IS NOT NULL GROUP BY event_type),
-     x AS (SELECT q.*, value, value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1) AS inside
-           FROM events JOIN q USING (event_type) WHERE value IS NOT NULL)
-SELECT event_type, minimum, q1, median, q3, maximum, count(*) AS n, min(value) FILTER (inside) AS whisker_low,
-       max(value) FILTER (inside) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
+@query("value_distribution", f"""
+WITH {boxes_sql('events', 'event_type', 'value')}
+SELECT event_type, minimum, q1, median, q3, maximum, count(*) AS n, min(v) FILTER (inside) AS whisker_low,
+       max(v) FILTER (inside) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
 FROM x GROUP BY event_type, minimum, q1, median, q3, maximum""")
 def distribution(t: Tables) -> DataFrame:
     return value_distribution(t.events, ["event_type"], "value")
@@ -76,7 +72,7 @@ def distribution(t: Tables) -> DataFrame:
 
 @query("clock_dates", """
 SELECT event_id, strftime(ts, '%Y-%j-%H') AS hr, strftime(ts, '%Y%m%d') AS compact,
-       event_type || ':' || strftime(ts, '%Y%m%d') || ':FMC' AS activity,
+       concat_ws(':', event_type, strftime(ts, '%Y%m%d'), 'FMC') AS activity,
        strftime(CAST(ts AS DATE) - INTERVAL 6 DAYS, '%Y-%m-%d') AS week_start,
        strftime(ts, '%H:%M') AS hhmm, date_trunc('second', ts) AS iso, date_trunc('minute', ts) AS mdy,
        date_trunc('second', ts) AS wall, strftime(ts, '%Y-%m-%d') AS record_date, ts + INTERVAL 5 MINUTES AS padded,
@@ -186,7 +182,7 @@ SELECT event_id, event_type || '.Primary' AS char, regexp_matches(event_type, 'c
        contains(event_type, 'view') AS has_view
 FROM events WHERE event_type IN ('click', 'view', 'purchase')""")
 def inventory_text(t: Tables) -> DataFrame:
-    identifier = F.concat("event_type", F.lit(".Primary@"), F.col("user_id").cast("string"), F.lit("@x"))
+    identifier = F.concat("event_type", F.lit(".Primary@"), F.col("event_id").cast("string"), F.lit("@x"))
     rows = t.events.select("event_id", "event_type", base_identifier(identifier).alias("char"))
     wanted = rows.filter(F.col("char").isin("click.Primary", "view.Primary", "purchase.Primary"))
     return wanted.select(

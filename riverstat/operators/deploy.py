@@ -26,7 +26,7 @@ def deployments(
     start, end, tz = names
     zoned = df.groupBy(*keys, zone.alias("_zone")).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
     last = F.lit("") if pad is None else F.max("_last") + F.expr(f"INTERVAL {pad}")
-    earliest = F.min(F.when(F.col("_first").isNotNull(), F.struct("_first", "_zone")))
+    earliest = F.min(F.struct(F.col("_first").isNull().alias("_undated"), "_first", "_zone"))
     return zoned.groupBy(*keys).agg(
         F.min("_first").alias(start), last.alias(end), earliest["_zone"].alias(tz)
     )
@@ -67,10 +67,11 @@ def instrument_is_location(df: DataFrame, location: str = "Monitoring_Location_I
 
 
 def first_deployment(df: DataFrame, location: str, start: str) -> DataFrame:
-    """Earliest deployment of each location, ties by the remaining columns.
+    """Earliest deployment of each location (one without a start only if there is no other), ties by the other columns.
 
     The smallest row as an aggregate, not a sorted window: a location with many rows is reduced before the shuffle.
     """
     rest = [c for c in df.columns if c not in (location, start)]
-    first = df.groupBy(location).agg(F.min(F.struct(start, *rest)).alias("_first"))
+    undated = F.col(start).isNull().alias("_undated")
+    first = df.groupBy(location).agg(F.min(F.struct(undated, start, *rest)).alias("_first"))
     return first.select(location, *(F.col(f"_first.{c}").alias(c) for c in (start, *rest))).select(*df.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import round_nearest
@@ -31,6 +31,10 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     cells = place_in_slices(cells, [*keys, "v"])
     ranked = running_total(cells, [*keys, "v"], "n", group=keys).withColumnRenamed("total", "size")
 
+    def between(low: Column, high: Column, at: Column) -> Column:
+        share = at - F.floor(at)
+        return F.when(low == high, low).otherwise((1 - share) * low + share * high)
+
     quantiles = {"minimum": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "maximum": 1.0}
     found = []
     for name, p in quantiles.items():
@@ -43,11 +47,7 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
         *keys,
         "size",
         *(
-            (
-                F.col(f"{name}_lo")
-                + (F.col(f"{name}_hi") - F.col(f"{name}_lo"))
-                * ((F.col("size") - 1) * F.lit(p) - F.floor((F.col("size") - 1) * F.lit(p)))
-            ).alias(name)
+            between(F.col(f"{name}_lo"), F.col(f"{name}_hi"), (F.col("size") - 1) * F.lit(p)).alias(name)
             for name, p in quantiles.items()
         ),
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import iso_datetime, round_nearest
 from ..operators.deploy import deployments
+from ..operators.joins import attach_scalar
 from ..operators.moving import MAX_7, MEAN_7, MEAN_30, MIN_7, moving
 from ..operators.quality import drop_rejected, normalise_units
 from ..operators.reshape import to_statistics
@@ -43,7 +46,9 @@ def daily_statistics(readings: DataFrame, keys: list[str], ts: str, value: str,
     })
 
 
-def _statistics(clean: DataFrame, project: str, alternate_project: Column, extra: tuple[str, ...]) -> DataFrame:
+def _statistics(
+    clean: DataFrame, project: str, with_alternate: Callable[[DataFrame], DataFrame], extra: tuple[str, ...]
+) -> DataFrame:
     keys = [
         *extra, "Monitoring_Location_ID", "Equipment_ID", "Characteristic_Name", "Activity_Time_Zone", "Result_Unit",
         "r_units",
@@ -61,14 +66,13 @@ def _statistics(clean: DataFrame, project: str, alternate_project: Column, extra
         "RsltTimeBasis": basis,
         "Equipment": F.col("Equipment_ID"),
         "Project": project,
-        "alt_project": alternate_project,
         "ActStartDate": F.col("date"),
         "ActEndDate": bounds["AnaEndDate"],
         "ActEndTime": bounds["AnaEndTime"],
         **bounds,
         **dict.fromkeys(zones, F.col("Activity_Time_Zone")),
     }
-    return to_template(to_statistics(moved, ids), SUBMISSION, values, extra)
+    return to_template(with_alternate(to_statistics(moved, ids)), SUBMISSION, values, extra)
 
 
 def _extra(readings: DataFrame) -> tuple[str, ...]:
@@ -86,22 +90,27 @@ def accepted_readings(readings: DataFrame) -> DataFrame:
     return normalise_units(drop_rejected(timed_readings(readings)))
 
 
-def _alternate(project: DataFrame | str | None, is_salem: bool) -> Column:
-    if is_salem:
-        return F.lit(K.SALEM_PROJECT)
-    if isinstance(project, DataFrame):
-        return project.select(project.columns[0]).limit(1).scalar()
-    return F.lit(project).cast("string")
+def _with_alternate(
+    project: DataFrame | str | None, is_salem: bool
+) -> Callable[[DataFrame], DataFrame]:
+    """Adds `alt_project` to the statistics: a text, the first cell of a table, or the table's text for the file."""
+    if isinstance(project, DataFrame) and not is_salem:
+        if "source_file" in project.columns:
+            return lambda stats: stats.join(project.select("source_file", "alt_project"), "source_file", "left")
+        return lambda stats: attach_scalar(stats, project, "alt_project")
+    text = K.SALEM_PROJECT if is_salem else project
+    return lambda stats: stats.withColumn("alt_project", F.lit(text).cast("string"))
 
 
 def _tables(
-    clean: DataFrame, deployed_from: DataFrame, project: str, alternate: Column, extra: tuple[str, ...]
+    clean: DataFrame, deployed_from: DataFrame, project: str, with_alternate: Callable[[DataFrame], DataFrame],
+    extra: tuple[str, ...],
 ) -> dict[str, DataFrame]:
     if not isinstance(project, str):
         raise ValueError("project must be one text")
     location, zone = F.col("Monitoring_Location_ID"), F.col("Activity_Time_Zone")
     return {
-        "statistics": _statistics(clean, project, alternate, extra),
+        "statistics": _statistics(clean, project, with_alternate, extra),
         "continuous_ph": continuous_ph(
             clean.filter(F.col("Characteristic_Name") == K.PH), location, F.col("datetime"), zone, location,
             F.col("Result_Value"), F.col("Result_Unit"), F.col("Result_Status_ID"), extra,
@@ -122,11 +131,12 @@ def submission_stats(
     """All results of submitted readings (columns of `schemas.READINGS`, `source_file` optional).
 
     A whole folder is one job: where there is a `source_file`, each file is a series of its own and its name is carried
-    along, ready for `sinks.write_by_source`. `alternate_project` is text or a one-row table (`read_project`).
+    along, ready for `sinks.write_by_source`. `alternate_project` is text, a one-row table (`read_project`), or a table
+    with a text per file (`read_projects`).
     """
     clean = accepted_readings(readings)
     deployed_from = clean if deployments_after_filter else timed_readings(readings)
-    return _tables(clean, deployed_from, project, _alternate(alternate_project, is_salem), _extra(readings))
+    return _tables(clean, deployed_from, project, _with_alternate(alternate_project, is_salem), _extra(readings))
 
 
 def multi_part_submission_stats(
@@ -138,7 +148,7 @@ def multi_part_submission_stats(
     """The multi-part form: a converted reading loses its original unit, so deg F and deg C readings of one instrument
     are one series, and deployments count accepted readings only."""
     clean = accepted_readings(readings).withColumn("Result_Unit", F.col("r_units"))
-    return _tables(clean, clean, project, _alternate(alternate_project, is_salem), _extra(readings))
+    return _tables(clean, clean, project, _with_alternate(alternate_project, is_salem), _extra(readings))
 
 
 def submission_distribution(readings: DataFrame) -> DataFrame:

@@ -37,3 +37,17 @@ def read_multi_part(spark: SparkSession, path: str, glob: str = "*Results*") ->
         "Result_Value": F.col("Result_Value").try_cast("double"),
     })
     return repair_characteristic(typed, "Characteristic_Name", {"Temperature,water": K.TEMPERATURE})
+
+
+def read_projects(spark: SparkSession, path: str, suffix: str = "-project", glob: str = "*.csv") -> DataFrame:
+    """Alternate project per submission: the first cell of each file `<submission><suffix>.csv` of a folder."""
+    raw = spark.read.option("pathGlobFilter", glob).csv(path, header=True)
+    named = raw.select(source_name().alias("file"), F.col(raw.columns[0]).alias("cell"))
+    first = named.groupBy("file").agg(F.first("cell").alias("alt_project"))
+    return first.select(F.regexp_replace("file", f"{suffix}$", "").alias("source_file"), "alt_project")
+
+
+def read_continuous_ph(spark: SparkSession, path: str, glob: str = "*pH*") -> DataFrame:
+    """Continuous pH imports of a folder, to correct them in one go."""
+    raw = spark.read.option("pathGlobFilter", glob).csv(path, header=True)
+    return raw.select("*", source_name().alias("source_file"))

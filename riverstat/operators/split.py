@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,27 +10,96 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from .ordering import place_in_slices, running_total
 
-# Rows of input that one block of groups covers; a block holds at most this many groups.
+# Rows of input that one block of groups covers (a block holds at most this many groups), and blocks merged at once.
 BLOCK_ROWS = 1_000_000
+FAN = 32
+
+_EXITS = "block long, entry long, need long, files long"
+_ENTERED = "block long, need long, files long"
+
+
+def _one_per_exit(exits: pd.DataFrame) -> pd.DataFrame:
+    """Neighbouring entries with the same exit become one: the last, since the walk looks for the first one it reaches."""
+    same = (exits["need"] == exits["need"].shift(-1)) & (exits["files"] == exits["files"].shift(-1))
+    return exits[~same]
+
+
+def _follow(need: np.ndarray, files: np.ndarray, block: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Walk through a block: from `need`, the first position where the next file may begin, to the one behind it."""
+    at = np.searchsorted(block["entry"].to_numpy(), need)
+    inside = at < len(block)
+    at = np.minimum(at, len(block) - 1)
+    return (
+        np.where(inside, block["need"].to_numpy()[at], need),
+        files + np.where(inside, block["files"].to_numpy()[at], 0),
+    )
+
+
+def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Exits of several consecutive blocks taken as one."""
+    blocks = [b for _, b in pdf.sort_values(["block", "entry"]).groupby("block")]
+    entry, need, files = (blocks[0][c].to_numpy() for c in ("entry", "need", "files"))
+    for block in blocks[1:]:
+        need, files = _follow(need, files, block)
+    if len(blocks) > 1:  # the walk may also come in behind the last group of the first block
+        first = blocks[1].iloc[:1]
+        late_need, late_files = first["need"].to_numpy(), first["files"].to_numpy()
+        for block in blocks[2:]:
+            late_need, late_files = _follow(late_need, late_files, block)
+        entry = np.append(entry, first["entry"])
+        need, files = np.append(need, late_need), np.append(files, late_files)
+    return _one_per_exit(
+        pd.DataFrame({"block": pdf["parent"].iloc[0], "entry": entry, "need": need, "files": files})
+    )
+
+
+def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
+    """State of the walk in front of each of the blocks, from the state in front of the first."""
+    need, files = pdf["need_before"].to_numpy()[:1], pdf["files_before"].to_numpy()[:1]
+    states = []
+    for number, block in pdf.sort_values(["block", "entry"]).groupby("block"):
+        states.append((number, need[0], files[0]))
+        need, files = _follow(need, files, block)
+    return pd.DataFrame(states, columns=["block", "need", "files"])
 
 
-def file_numbers(df: DataFrame, key: str, size: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _enter(exits: DataFrame, blocks: int, fan: int) -> DataFrame:
+    """State of the walk in front of every block: merge upwards until few blocks are left, then walk back down."""
+    if blocks <= fan:
+        start = {"parent": F.lit(0), "need_before": F.lit(0), "files_before": F.lit(0)}
+        grouped = exits.withColumns({name: zero.cast("long") for name, zero in start.items()})
+    else:
+        exits = exits.withColumn("parent", F.expr(f"block div {fan}L")).checkpoint()
+        above = _enter(exits.groupBy("parent").applyInPandas(_merge, _EXITS), blocks // fan + 1, fan)
+        grouped = exits.join(
+            above.withColumnsRenamed({"block": "parent", "need": "need_before", "files": "files_before"}), "parent"
+        )
+    return grouped.groupBy("parent").applyInPandas(_walk, _ENTERED)
+
+
+def file_numbers(
+    df: DataFrame, key: str, size: int, block_rows: int = BLOCK_ROWS, fan: int = FAN
+) -> DataFrame:
     """File number of every key: groups in key order fill a file until it has more than `size` rows.
 
     A file that begins `b` rows into the order is followed by the one at the first group that begins at or after
-    `b + size + 1`. That chain is sequential, but only through one number, so the groups are cut into blocks of the
-    order and each block works out, in its own task, where the chain leaves it for every place it may enter it. Places
-    that lead to the same exit are merged. One pass over these summaries then yields the entry of each block, and the
-    blocks number their groups independently. Only counts per key are handled here, never the rows.
+    `b + size + 1`. That walk is sequential, but only through one number. So the groups are cut into blocks of the order,
+    and each block works out, in its own task, where the walk leaves it for every place it may enter it: these lie in its
+    first `size + 1` rows, and places with the same exit are merged. Blocks are merged in the same way, `fan` at a time,
+    until `fan` are left; from there the walk's state is handed back down and the blocks number their groups. A task
+    holds one block of groups or the exits of `fan` blocks. Only counts per key are handled here, never the rows.
     """
     span = size + 1
     width = span * max(1, block_rows // span)
     keys = df.select(F.col(key).alias("group_key")).filter(F.col("group_key").isNotNull())
     counts = keys.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
-    order = ["group_key"]
-    groups = running_total(place_in_slices(counts, order), order, "n")
-    groups = groups.select("group_key", (F.col("running") - F.col("n")).alias("begin"))
-    groups = groups.withColumn("block", F.expr(f"begin div {width}L"))
+    placed = place_in_slices(counts, ["group_key"])
+    rows = placed.agg(F.sum("n")).first()[0] or 0
+    groups = (
+        running_total(placed, ["group_key"], "n")
+        .select("group_key", (F.col("running") - F.col("n")).alias("begin"))
+        .withColumn("block", F.expr(f"begin div {width}L"))
+    )
 
     def exits(pdf: pd.DataFrame) -> pd.DataFrame:
         begin = np.sort(pdf["begin"].to_numpy())
@@ -47,21 +114,9 @@ def file_numbers(df: DataFrame, key: str, size: int, block_rows: int = BLOCK_ROW
                 break
             at = np.where(inside, then, at)
             files += inside
-        out = pd.DataFrame({"block": block, "entry": begin[entries], "need": begin[at] + span, "files": files})
-        last_of_run = (out["need"] != out["need"].shift(-1)) | (out["files"] != out["files"].shift(-1))
-        return out[last_of_run]
-
-    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        need, files, block, entered = 0, 0, None, True
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                if row.block != block:
-                    block, entered = row.block, False
-                    rows.append((block, need, files))
-                if not entered and row.entry >= need:
-                    need, files, entered = row.need, files + row.files, True
-            yield pd.DataFrame(rows, columns=["block", "need", "files"])
+        return _one_per_exit(
+            pd.DataFrame({"block": block, "entry": begin[entries], "need": begin[at] + span, "files": files})
+        )
 
     def number(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("begin", ignore_index=True)
@@ -74,11 +129,8 @@ def file_numbers(df: DataFrame, key: str, size: int, block_rows: int = BLOCK_ROW
         pdf["file_no"] = pdf["files"].iloc[0] + np.searchsorted(starts, np.arange(len(begin)), side="right")
         return pdf[["group_key", "file_no"]]
 
-    summaries = groups.select("block", "begin").groupBy("block").applyInPandas(
-        exits, "block long, entry long, need long, files long"
-    )
-    entered = summaries.repartition(1).sortWithinPartitions("block", "entry").mapInPandas(
-        chain, "block long, need long, files long"
+    entered = _enter(
+        groups.select("block", "begin").groupBy("block").applyInPandas(exits, _EXITS), rows // width + 1, fan
     )
     key_type = counts.schema["group_key"].dataType.simpleString()
     numbered = groups.join(entered, "block").groupBy("block").applyInPandas(

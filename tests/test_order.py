@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from riverstat.operators.ordering import place_in_slices, running_total
-from riverstat.operators.split import bounded_split, file_numbers
+from riverstat.operators.split import _merge, _walk, bounded_split, file_numbers
 from riverstat.operators.summary import status_share, value_distribution
 
 
@@ -27,20 +28,49 @@ def keyed(spark, counts):
     return spark.createDataFrame(rows, "key string, n int").select("key", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(4))
 def test_split_equals_the_sequential_walk(spark, seed):
     rng = random.Random(seed)
     size = rng.choice([1, 5, 20, 60])
-    counts = {f"k{i:04d}": rng.choice([1, 1, 2, 3, 7, size, size + 1, 3 * size]) for i in range(rng.randint(1, 150))}
-    for block_rows in (1, 2 * size + 3, 1_000_000):
-        got = {r.key: r.file_no for r in file_numbers(keyed(spark, counts), "key", size, block_rows).collect()}
+    counts = {f"k{i:04d}": rng.choice([1, 1, 2, 3, 7, size, size + 1, 3 * size]) for i in range(rng.randint(50, 150))}
+    for block_rows, fan in ((1, 2), (2 * size + 3, 3), (1_000_000, 32)):
+        got = {r.key: r.file_no for r in file_numbers(keyed(spark, counts), "key", size, block_rows, fan).collect()}
         assert got == greedy(counts, size)
 
 
 def test_split_of_single_row_groups(spark):
-    df = spark.range(5000).withColumnRenamed("id", "key")
-    got = {r.key: r.file_no for r in file_numbers(df, "key", 9, 35).collect()}
-    assert got == {k: k // 10 + 1 for k in range(5000)}
+    df = spark.range(3000).withColumnRenamed("id", "key")
+    got = {r.key: r.file_no for r in file_numbers(df, "key", 9, 35, 5).collect()}
+    assert got == {k: k // 10 + 1 for k in range(3000)}
+
+
+def pieces(begin, width, span):
+    """Exits of every block, from the definition."""
+    rows = []
+    for block in sorted(set(begin // width)):
+        own = begin[begin // width == block]
+        for entry in own:
+            at, files = entry, 1
+            while (own >= at + span).any():
+                at, files = own[own >= at + span][0], files + 1
+            rows.append((block, entry, at + span, files))
+    return pd.DataFrame(rows, columns=["block", "entry", "need", "files"])
+
+
+def test_merging_blocks_equals_walking_through_them():
+    rng = random.Random(11)
+    for _ in range(200):
+        span = rng.randint(2, 9)
+        width, fan = span * rng.randint(1, 3), rng.randint(2, 4)
+        begin = np.cumsum([0] + [rng.choice([1, 1, 2, span, 3 * width]) for _ in range(40)])
+        exits = pieces(begin, width, span)
+        parents = exits.assign(parent=exits["block"] // fan)
+        merged = pd.concat([_merge(g) for _, g in parents.groupby("parent")])
+        walked = _walk(exits.assign(parent=0, need_before=0, files_before=0)).set_index("block")
+        above = _walk(merged.assign(parent=0, need_before=0, files_before=0)).set_index("block")
+        for parent, group in parents.groupby("parent"):
+            first = group["block"].min()
+            assert tuple(above.loc[parent]) == tuple(walked.loc[first])
 
 
 def test_split_keeps_groups_whole(spark):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,7 +12,9 @@ from pyspark.sql import functions as F
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equally named keys with `<=>`; the result carries the left side's keys.
 
-    Spark runs `<=>` as an equi-join, so AQE still picks the strategy from measured sizes and splits skewed partitions.
+    Spark runs `<=>` as an equi-join on its own key expressions, so both sides are shuffled right below the join even if
+    the right one is grouped by the same keys. That is what lets AQE split a left partition that a hot key makes too
+    large (and broadcast a right side that turns out small), so callers keep the right side to one row per key.
     """
     renamed = {k: f"_right_{k}" for k in keys}
     other = right.withColumnsRenamed(renamed)
@@ -21,23 +22,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(other, condition, how).drop(*renamed.values())
 
 
-_STAND_INS = {
-    "string": "", "date": datetime.date(1970, 1, 1), "double": 0.0, "bigint": 0, "int": 0, "boolean": False,
-}
-
-
-def without_nulls(df: DataFrame, keys: Sequence[str], nulls: str) -> DataFrame:
-    """Replace NULL keys by a stand-in and record which were NULL as bits of the column `nulls`.
-
-    With that column among the keys plain equality treats NULL like a value, so grouping by the keys and joining on them
-    ask for the same partitioning and order, and Spark shuffles once for both.
-    """
-    types = dict(df.dtypes)
-    bits = reduce(lambda a, b: a + b, (F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(0) for i, k in enumerate(keys)))
-    filled = {k: F.coalesce(F.col(k), F.lit(_STAND_INS[types[k]]).cast(types[k])) for k in keys}
-    return df.withColumns({**filled, nulls: bits})
-
-
 def attach_scalar(df: DataFrame, table: DataFrame, name: str) -> DataFrame:
     """Add the first cell of a one-row table to every row, as a scalar subquery."""
     return df.withColumn(name, table.select(table.columns[0]).limit(1).scalar())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import blank_to_null, clock_hhmm, lookup
 from .deploy import instrument_is_location
-from .joins import null_safe_join, without_nulls
+from .joins import null_safe_join
 from .quality import date_window
 
 NEW, DUPLICATE, UPDATE = "new", "suspected duplicate", "suspected update"
@@ -92,33 +92,30 @@ def classify_duplicates(new: DataFrame, existing: DataFrame, columns: Columns =
         F.col("Result").cast("double").alias("k_result"),
         F.col("Result_UID").alias("uid"),
     )
-    keyed = without_nulls(without_nulls(keyed, MATCH_KEYS, "k_nulls"), ["k_result"], "k_no_result")
-    stored = without_nulls(without_nulls(stored, MATCH_KEYS, "k_nulls"), ["k_result"], "k_no_result")
-    key, result = [*MATCH_KEYS, "k_nulls"], ["k_no_result", "k_result"]
-
-    same = stored.groupBy(*key, *result).agg(F.count(F.lit(1)).alias("n_same"), F.min("uid").alias("same_uid"))
-    one = F.struct(*result, "same_uid")
-    any_result = same.groupBy(*key).agg(
+    same = stored.groupBy(*MATCH_KEYS, "k_result").agg(
+        F.count(F.lit(1)).alias("n_same"), F.min("uid").alias("same_uid")
+    )
+    one = F.struct("k_result", "same_uid")
+    any_result = same.groupBy(*MATCH_KEYS).agg(
         F.sum("n_same").alias("n_any"), F.min(one).alias("low"), F.max(one).alias("high")
     )
-    matched = keyed.join(any_result, key, "left").join(same, [*key, *result], "left")
+    matched = null_safe_join(keyed, any_result, MATCH_KEYS, "left")
+    matched = null_safe_join(matched, same, [*MATCH_KEYS, "k_result"], "left")
 
     n_same = F.coalesce(F.col("n_same"), F.lit(0))
-    low_is_same = (F.col("low.k_no_result") == F.col("k_no_result")) & (F.col("low.k_result") == F.col("k_result"))
-    other = F.when(low_is_same, F.col("high")).otherwise(F.col("low"))
+    other = F.when(F.col("low.k_result").eqNullSafe(F.col("k_result")), F.col("high")).otherwise(F.col("low"))
 
-    def outcome(name: str, count: Column, no_result: Column, value: Column, uid: Column) -> Column:
+    def outcome(name: str, count: Column, result: Column, uid: Column) -> Column:
         return F.struct(
             F.lit(name).alias("dup_class"), count.cast("bigint").alias("stored_matches"),
-            F.when(no_result == 0, value).alias("stored_result"), uid.alias("stored_uid"),
+            result.alias("stored_result"), uid.alias("stored_uid"),
         )
 
-    nothing = outcome(
-        NEW, F.lit(0), F.lit(1), F.lit(None).cast("double"), F.lit(None).cast(stored.schema["uid"].dataType)
-    )
+    uid_type = stored.schema["uid"].dataType
+    nothing = outcome(NEW, F.lit(0), F.lit(None).cast("double"), F.lit(None).cast(uid_type))
     found = F.array(
-        outcome(DUPLICATE, n_same, F.col("k_no_result"), F.col("k_result"), F.col("same_uid")),
-        outcome(UPDATE, F.col("n_any") - n_same, other["k_no_result"], other["k_result"], other["same_uid"]),
+        outcome(DUPLICATE, n_same, F.col("k_result"), F.col("same_uid")),
+        outcome(UPDATE, F.col("n_any") - n_same, other["k_result"], other["same_uid"]),
     )
     outcomes = F.when(F.col("n_any").isNull(), F.array(nothing)).otherwise(
         F.filter(found, lambda o: o["stored_matches"] > 0)
@@ -156,18 +153,18 @@ def stored_results(
         existing.filter(F.col("OrganizationID") == organization), F.col("SampleStartDate"), start, end
     )
     named = window.select(*(F.col(c).alias(n) for c, n in _STORED_NAMES.items()))
-    return (
-        named.withColumns({
-            "ActStartDate": F.col("ActStartDate").cast("date"),
-            "StatisticalBasis": from_store_statistic(F.col("StatisticalBasis")),
-        })
-        .join(new.select("SiteID").distinct(), "SiteID", "left_semi")
+    typed = named.withColumns({
+        "ActStartDate": F.col("ActStartDate").cast("date"),
+        "StatisticalBasis": from_store_statistic(F.col("StatisticalBasis")),
+    })
+    return null_safe_join(
+        typed.filter(F.col("SiteID").isNotNull()), new.select("SiteID").distinct(), ["SiteID"], "left_semi"
     )
 
 
 def drop_existing(new: DataFrame, existing: DataFrame, keys: Sequence[str] = STORED_KEYS) -> DataFrame:
     """New rows without an equal stored row; NULL keys match NULL."""
-    return null_safe_join(new, existing.select(*keys), keys, "left_anti")
+    return null_safe_join(new, existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def new_deployments(deployed: DataFrame, known: DataFrame, organization: str | None = None) -> DataFrame:

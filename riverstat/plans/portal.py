@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import date_text, round_nearest
 from ..operators.deploy import IMPORT_NAMES, attach_instrument, deployments, import_form, with_instrument_id
+from ..operators.joins import null_safe_join
 from ..operators.moving import MAX_7, MEAN_7, MEAN_30, MIN_7, moving
 from ..operators.quality import keep_grades
 from ..operators.reshape import stack, to_statistics
@@ -122,11 +123,9 @@ def portal_stats(
     to_compute = stations_to_compute(inventory, "station", "char").select(
         F.col("station").alias("Monitoring_Location_ID"), F.lit(RAW_TEMPERATURE).alias("raw")
     )
-    raw = (
-        good.filter(name.isin(RAW_OXYGEN, RAW_TEMPERATURE))
-        .join(to_compute, "Monitoring_Location_ID", "left")
-        .filter((name == RAW_OXYGEN) | (name == F.col("raw")))
-    )
+    raw = null_safe_join(
+        good.filter(name.isin(RAW_OXYGEN, RAW_TEMPERATURE)), to_compute, ["Monitoring_Location_ID"], "left"
+    ).filter((name == RAW_OXYGEN) | (name == F.col("raw")))
     sumstats = stack(
         _computed(located(raw), project), _ready_made(located(good.filter(name == READY_MADE)), project)
     )

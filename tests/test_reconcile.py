@@ -142,6 +142,36 @@ def test_hot_key_does_not_multiply(spark):
     assert counts["suspected duplicate"][1] + counts["suspected update"][1] == hot * hot + (n - hot)
 
 
+def test_partition_of_a_hot_key_is_split(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        incoming = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("SiteID"),
+            F.lit(DAY).alias("ActStartDate"), F.lit("0:00").alias("ActStartTime"), F.lit("T").alias("CharID"),
+            F.lit("Daily Maximum").alias("StatisticalBasis"), F.lit("").alias("SmplDepth"),
+            F.lit("M").alias("Method"), F.col("id").cast("double").alias("Result"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        classified = classify_duplicates(incoming, store(spark, kept(site="hot", result=2.0), kept(site="1", uid="v")))
+        counts = classified.groupBy("dup_class").count()
+        assert {r.dup_class: r["count"] for r in counts.collect()} == {
+            "new": 99_999, "suspected duplicate": 2, "suspected update": 99_999
+        }
+        assert "skew=true" in counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_prefilter(spark):
     wanted = new(spark, row(day=dt.date(2020, 7, 5)), row(site="B"))
     existing = store(spark, kept(uid="old"), kept(uid="in", day=dt.date(2020, 7, 6)), kept(site="B", uid="b"),

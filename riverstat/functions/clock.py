@@ -38,21 +38,36 @@ def wall_clock(text: Column, zone: str) -> Column:
     return F.when(zoned, moved).otherwise(text.try_cast("timestamp_ntz"))
 
 
+# Wall clocks are formatted from their own text: pattern formatting would read them in the session's zone first, where a
+# clock time that daylight saving skips does not exist.
+
+
 def hour_key(ts: Column) -> Column:
     """Hour of the series as text: year, day of year, hour."""
-    return F.date_format(ts, "yyyy-DDD-HH")
+    def padded(number: Column, width: int) -> Column:
+        return F.lpad(number.cast("string"), width, "0")
+
+    return F.concat_ws("-", padded(F.year(ts), 4), padded(F.dayofyear(ts), 3), padded(F.hour(ts), 2))
+
+
+def date_text(ts: Column, separator: str = "-") -> Column:
+    """Year, month and day of a date or wall clock."""
+    text = ts.cast("date").cast("string")
+    return text if separator == "-" else F.replace(text, F.lit("-"), F.lit(separator))
 
 
-def date_text(ts: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    return F.date_format(ts, pattern)
+def month_text(ts: Column) -> Column:
+    """Year and month without a separator."""
+    return F.substring(compact_date(ts), 1, 6)
 
 
 def time_text(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")
+    """Clock time to the second."""
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 12, 8)
 
 
 def compact_date(date: Column) -> Column:
-    return F.date_format(date, "yyyyMMdd")
+    return date_text(date, "")
 
 
 def clock_hhmm(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .clock import compact_date
+from .clock import compact_date, month_text
 
 
 def lookup(key: Column, values: Mapping[str, str], otherwise: Column | str | None = None) -> Column:
@@ -31,7 +31,7 @@ def activity_id(site: Column, date: Column, activity_type: Column) -> Column:
 
 def months_instrument_id(site: Column, start: Column, end: Column) -> Column:
     """Instrument named after its station and the months of its deployment."""
-    return F.concat_ws("-", site, F.date_format(start, "yyyyMM"), F.date_format(end, "yyyyMM"))
+    return F.concat_ws("-", site, month_text(start), month_text(end))
 
 
 def base_identifier(text: Column) -> Column:

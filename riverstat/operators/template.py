@@ -148,7 +148,7 @@ def continuous_ph(
     return df.select(
         *extra,
         location.alias("Monitoring_Location_ID"),
-        date_text(ts, "yyyy/MM/dd").alias("Activity_start_date"),
+        date_text(ts, "/").alias("Activity_start_date"),
         time_text(ts).alias("Activity_Start_Time"),
         zone.alias("Activity_Time_Zone"),
         equipment.alias("Equipment_ID"),

@@ -126,7 +126,7 @@ def test_catalogue(spark, tmp_path):
 
 def test_daily_values(spark, tmp_path):
     path = put(tmp_path, "dv.csv", "agency_cd,site_no,Date,X_00010_00001,X_00010_00001_cd,X_00010_00003\n"
-               "USGS,0141,2020-07-01,18.5,A,17.1\n")
+               "AG,0141,2020-07-01,18.5,A,17.1\n")
     df = services.read_daily_values(spark, path, "00010", "csv")
     assert df.columns == ["agency_cd", "site_no", "Date", "Wtemp_Max", "Wtemp_Max_cd", "Wtemp", "Wtemp_cd",
                           "Wtemp_Min", "Wtemp_Min_cd"]

@@ -10,6 +10,7 @@ from riverstat.functions import (
     base_identifier,
     blank_to_null,
     clock_hhmm,
+    date_text,
     fahrenheit_to_celsius,
     hour_key,
     iso_datetime,
@@ -17,10 +18,12 @@ from riverstat.functions import (
     mdy_date,
     mdy_datetime,
     mean_of,
+    month_text,
     months_instrument_id,
     null_to_blank,
     round_nearest,
     strip_blanks,
+    time_text,
     wall_clock,
 )
 
@@ -102,6 +105,11 @@ def test_wall_clock(spark, session_zone):
         }
         for text, wall in expected.items():
             assert one(spark, wall_clock(F.col("t"), zone), t=text) == wall
+        skipped = dt.datetime(2024, 3, 10, 2, 30, 5)  # a clock time that daylight saving leaves out
+        assert one(spark, time_text(F.col("t")), t=skipped) == "02:30:05"
+        assert one(spark, date_text(F.col("t"), "/"), t=skipped) == "2024/03/10"
+        assert one(spark, hour_key(F.col("t")), t=skipped) == "2024-070-02"
+        assert one(spark, month_text(F.col("t")), t=dt.date(2024, 3, 10)) == "202403"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

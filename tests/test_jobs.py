@@ -51,7 +51,7 @@ def test_logger_files(spark, tmp_path):
 
 
 def test_daily_value_files(spark, tmp_path):
-    lines = "".join(f"USGS,01,2020-07-{d:02d},18.5,A,17,A\n" for d in range(1, 9))
+    lines = "".join(f"AG,01,2020-07-{d:02d},18.5,A,17,A\n" for d in range(1, 9))
     head = "agency_cd,site_no,Date,X_{0}_00001,X_{0}_00001_cd,X_{0}_00003,X_{0}_00003_cd\n"
     temperature = put(tmp_path, "t.csv", head.format("00010") + lines)
     oxygen = put(tmp_path, "o.csv", head.format("00300") + lines)

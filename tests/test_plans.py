@@ -144,10 +144,10 @@ def test_logger_folder_without_oxygen_or_temperature(spark):
 def daily_tables(spark):
     days = [START.date() + dt.timedelta(days=d) for d in range(35)]
     temperature = spark.createDataFrame(
-        [("USGS", s, d, 20.0, "P Eqp" if i == 0 else "A", 15.0, None, None, "A") for s in ("01", "gw")
+        [("AG", s, d, 20.0, "P Eqp" if i == 0 else "A", 15.0, None, None, "A") for s in ("01", "gw")
          for i, d in enumerate(days)], schemas.daily_value_schema(("Wtemp_Max", "Wtemp", "Wtemp_Min")))
     oxygen = spark.createDataFrame(
-        [("USGS", "02", d, 9.0, "A", 8.0, "A", None if i == 20 else 7.0, "P e" if i == 34 else "A")
+        [("AG", "02", d, 9.0, "A", 8.0, "A", None if i == 20 else 7.0, "P e" if i == 34 else "A")
          for i, d in enumerate(days)], schemas.daily_value_schema(("DO_Max", "DO", "DO_Min")))
     ph = spark.createDataFrame(
         [("03", START, "PDT", 7.1, "A"), ("03", START + dt.timedelta(days=1), "PST", 7.2, "P"),

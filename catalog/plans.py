@@ -161,8 +161,12 @@ SELECT {case_sql('parameter', _LOGGER_CHAR)} AS "charID", {round_sql('Result', 2
        '' AS "AnaEndTimeZone"
 FROM lg""")
 def logger_stats(t: Tables) -> DataFrame:
+    return logger_folder_stats(logger_wide(t))["statistics"]
+
+
+def logger_wide(t: Tables) -> DataFrame:
     value = F.col("value")
-    wide = t.events.select(
+    return t.events.select(
         F.col("event_type").alias("StationCode"),
         F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("DateTimeStamp"),
         value.alias("Temp"), F.when(value > 200, F.lit("<1> [x]")).otherwise(F.lit("<0>")).alias("F_Temp"),
@@ -170,7 +174,28 @@ def logger_stats(t: Tables) -> DataFrame:
         value.alias("DO_mgl"), F.lit("<4>").alias("F_DO_mgl"),
         value.alias("pH"), F.lit("<0>").alias("F_pH"),
     )
-    return logger_folder_stats(wide)["statistics"]
+
+
+_INSTRUMENTS = {"click": "click_0124", "view": "view_0124", "error": "error_0124"}
+_INSTRUMENT_SQL = case_sql("event_type", _INSTRUMENTS)
+
+
+@query("logger_ph", f"""
+SELECT event_type AS "Monitoring_Location_ID", strftime(ts, '%Y/%m/%d') AS "Activity_start_date",
+       strftime(ts, '%H:%M') || ':00' AS "Activity_Start_Time", 'PST' AS "Activity_Time_Zone",
+       {_INSTRUMENT_SQL} AS "Equipment_ID", 'pH' AS "Characteristic_Name", value AS "Result_Value",
+       'pH units' AS "Result_Unit", 'Final' AS "Result_Status_ID"
+FROM events""")
+def logger_ph(t: Tables) -> DataFrame:
+    return logger_folder_stats(logger_wide(t), _INSTRUMENTS)["continuous_ph"]
+
+
+@query("logger_deployments", f"""
+SELECT event_type AS "Monitoring_Location_ID", {_INSTRUMENT_SQL} AS "Equipment_ID",
+       min(date_trunc('minute', ts)) AS startdate, '' AS enddate, 'PST' AS "TZ"
+FROM events GROUP BY event_type""")
+def logger_deployed(t: Tables) -> DataFrame:
+    return logger_folder_stats(logger_wide(t), _INSTRUMENTS)["deployments"]
 
 
 # lineitem days as daily values of a site
@@ -321,6 +346,10 @@ UNION ALL SELECT 'Temperature, water', value, unit, 'T-170.1', '100', '7DMADMax'
        '0:00', strftime(ts, '%Y-%m-%d'), '0:00' FROM rd WHERE char = 'Temperature.7DADM')
 SELECT *, {_PORTAL_COMMON}, {_ZONES}, 'Call' AS "Project", CAST(NULL AS VARCHAR) AS "ActivityID" FROM al""")
 def supplied_or_computed(t: Tables) -> DataFrame:
+    return portal_tables(t)["sumstats"]
+
+
+def portal_tables(t: Tables) -> dict[str, DataFrame]:
     readings = portal_readings(t)
     inventory = readings.select(
         F.col("Monitoring_Location_ID").alias("station"), F.col("Characteristic_Name").alias("char")
@@ -328,7 +357,35 @@ def supplied_or_computed(t: Tables) -> DataFrame:
     crosswalk = inventory.select(
         F.col("station").alias("LocationIdentifier"), F.concat(F.lit("M-"), "station").alias("MLocID")
     ).distinct()
-    return portal_stats(readings, inventory, crosswalk, "Call")["sumstats"]
+    return portal_stats(readings, inventory, crosswalk, "Call")
+
+
+_PORTAL_GOOD = f"""
+WITH rd AS (SELECT 'M-' || {case_sql('event_type', _PORTAL_STATION)} AS loc, event_type, ts, value, props
+            FROM events WHERE value <= 200),
+ex AS (SELECT loc, min(ts) AS a, max(ts) + INTERVAL 1 SECOND AS b FROM rd GROUP BY loc),
+eq AS (SELECT *, concat_ws('-', loc, strftime(a, '%Y%m'), strftime(b, '%Y%m')) AS instrument FROM ex)"""
+
+
+@query("portal_deployments", _PORTAL_GOOD + """
+SELECT loc AS "Monitoring_Location_ID", a AS "Activity_start_date_time", b AS "Activity_end_date_time",
+       'UTC' AS "Activity_start_end_time_Zone", instrument AS "Equipment_ID", 'Water' AS "Media",
+       'Surface Water' AS "Media_subdivision", 'Call' AS "Project_ID", '' AS "Alternate_Project_ID",
+       '' AS "Alternate_Project_ID2", '' AS "Frequency_on_minutes", '' AS "Depth_in_m"
+FROM eq""")
+def portal_deployed(t: Tables) -> DataFrame:
+    return portal_tables(t)["deployments"]
+
+
+@query("portal_ph", _PORTAL_GOOD + """
+SELECT loc AS "Monitoring_Location_ID", strftime(ts, '%Y/%m/%d') AS "Activity_start_date",
+       strftime(ts, '%H:%M:%S') AS "Activity_Start_Time", 'UTC' AS "Activity_Time_Zone",
+       instrument AS "Equipment_ID", 'pH' AS "Characteristic_Name", value AS "Result_Value",
+       'pH units' AS "Result_Unit", CAST(100 AS DOUBLE) AS "Result_Status_ID"
+FROM rd LEFT JOIN eq ON rd.loc IS NOT DISTINCT FROM eq.loc WHERE event_type = 'purchase'""".replace(
+    "SELECT loc AS", "SELECT rd.loc AS"))
+def portal_ph(t: Tables) -> DataFrame:
+    return portal_tables(t)["pH_continuous"]
 
 
 _JSON_CHAR = {"click": "Temperature", "view": "Dissolved oxygen", "purchase": "pH"}
@@ -358,6 +415,10 @@ SELECT * EXCLUDE (day), {_PORTAL_COMMON}, 'PST' AS "ActStartTimeZone", 'PST' AS
        concat_ws(':', "Monitoring_Location_ID", strftime(day, '%Y%m%d'), 'FMC') AS "ActivityID"
 FROM al""")
 def portal_json(t: Tables) -> DataFrame:
+    return text_dates(portal_json_tables(t)["sum_stats"], "ActStartDate", "ActEndDate")
+
+
+def portal_json_tables(t: Tables) -> dict[str, DataFrame]:
     kind = F.col("event_type")
     points = t.events.select(
         F.when(kind == "view", F.lit("FC-8")).otherwise(F.col("user_id").cast("string")).alias("locationIdentifier"),
@@ -367,6 +428,18 @@ def portal_json(t: Tables) -> DataFrame:
         F.when(F.col("value") > 200, F.lit(50)).otherwise(F.lit(100)).alias("gradeCode"),
         F.lit(900).alias("approvalLevel"), F.col("props").alias("comment"),
     )
-    return text_dates(
-        portal_json_stats(points, "2024-02-01", "2024-02-10")["sum_stats"], "ActStartDate", "ActEndDate"
-    )
+    return portal_json_stats(points, "2024-02-01", "2024-02-10")
+
+
+@query("portal_json_ph_deployments", """
+SELECT 'PDX_BES-' || user_id AS "Monitoring_Location_ID", 'PDX_BES-' || user_id AS "Equipment_ID",
+       min(date_trunc('second', ts)) AS "Activity_start_date_time",
+       max(date_trunc('second', ts)) + INTERVAL 1 SECOND AS "Activity_end_date_time",
+       'PST' AS "Activity_start_end_time_Zone", 'Water' AS "Media", 'Surface Water' AS "Media_subdivision",
+       'Integrated Report - Call for Data' AS "Project_ID", '' AS "Alternate_Project_ID", '' AS "Alternate_Project_ID2",
+       '' AS "Frequency_on_minutes", '' AS "Depth_in_m"
+FROM events WHERE event_type = 'purchase' AND (value > 200) IS NOT TRUE
+  AND CAST(ts AS DATE) BETWEEN DATE '2024-02-01' - INTERVAL 30 DAYS AND DATE '2024-02-10'
+GROUP BY user_id""")
+def portal_json_deployed(t: Tables) -> DataFrame:
+    return portal_json_tables(t)["pH_deployments"]

@@ -45,7 +45,7 @@ def any_of_long(df: DataFrame, ids: Sequence[str], known: Sequence[str], name: s
     present = [c for c in known if c in df.columns]
     if not present:
         raise ValueError("none of the known value columns is present")
-    return df.select(*ids, *(F.col(c).cast("double").alias(c) for c in present)).unpivot(
+    return df.select(*ids, *(F.col(c).try_cast("double").alias(c) for c in present)).unpivot(
         list(ids), present, name, value
     )
 

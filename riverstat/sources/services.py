@@ -98,7 +98,7 @@ def read_daily_values(spark: SparkSession, path: str, parameter: str, fmt: str =
         reader = reader.option("header", True)
     named = name_daily_values(reader.load(path), parameter)
     full = with_missing(named, {f.name: f.dataType.simpleString() for f in schema})
-    return full.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    return full.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema))
 
 
 def read_instant_ph(spark: SparkSession, *paths: str) -> DataFrame:

@@ -87,12 +87,12 @@ def test_portal_exports(spark, tmp_path):
 
 def test_hydrology_exports(spark, tmp_path):
     a = put(tmp_path, "max.txt", "station.nbr\trecord.date\tdaily_max_water_temp_C\tpublished_status\n".replace(".", "_")
-            + "14335500\t07-01-2020\t18.5\tPUB\n")
+            + "14335500\t07-01-2020\t18.5\tPUB\n14335500\t07-02-2020\tICE\tPUB\n")
     b = put(tmp_path, "flow.txt", "station_nbr\trecord_date\ttime_observed\tmean_daily_flow_.cfs\tpublished_status\n"
             "14335500\t07-01-2020\t00:00\t120\tPRO\n")
     df = services.read_hydrology(spark, {"WTEMP_MAX": a, "MDF": b})
     assert {(r.Characteristic_Name, r.Result_Value, r.time_observed, r.published_status) for r in df.collect()} == {
-        ("daily_max_water_temp_C", 18.5, None, "PUB"), ("mean_daily_flow_cfs", 120.0, "00:00", "PRO")
+        ("daily_max_water_temp_C", 18.5, None, "PUB"), ("daily_max_water_temp_C", None, None, "PUB"), ("mean_daily_flow_cfs", 120.0, "00:00", "PRO")
     }
 
 

@@ -381,7 +381,7 @@ def portal_deployed(t: Tables) -> DataFrame:
 SELECT loc AS "Monitoring_Location_ID", strftime(ts, '%Y/%m/%d') AS "Activity_start_date",
        strftime(ts, '%H:%M:%S') AS "Activity_Start_Time", 'UTC' AS "Activity_Time_Zone",
        instrument AS "Equipment_ID", 'pH' AS "Characteristic_Name", value AS "Result_Value",
-       'pH units' AS "Result_Unit", CAST(100 AS DOUBLE) AS "Result_Status_ID"
+       'pH units' AS "Result_Unit", 100 AS "Result_Status_ID"
 FROM rd LEFT JOIN eq ON rd.loc IS NOT DISTINCT FROM eq.loc WHERE event_type = 'purchase'""".replace(
     "SELECT loc AS", "SELECT rd.loc AS"))
 def portal_ph(t: Tables) -> DataFrame:

@@ -47,5 +47,10 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def number_text(value: Column) -> Column:
+    """Number as text, whole ones without decimals."""
+    return F.regexp_replace(value.cast("string"), r"\.0$", "")
+
+
 def null_to_blank(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import activity_id, lookup, null_to_blank, round_nearest
+from ..functions import activity_id, lookup, null_to_blank, number_text, round_nearest
 from ..operators.deploy import IMPORT_NAMES, deployments, import_form, instrument_is_location
 from ..operators.moving import MovingMean, day_cells, moving
 from ..operators.quality import drop_qualifiers, keep_site_types
@@ -91,11 +91,11 @@ def site_records(sites: DataFrame, counties: DataFrame) -> DataFrame:
         "Stationkey": F.col("site_no"), "Desc": F.col("station_nm"), "SiteComments": blank, "MonLocType": kind,
         "COUNTY": F.col("county_nm"), "STATE": F.lit("OR"), "Country": F.lit("US"), "HUC8": F.col("huc_cd"),
         "HUC12": blank, "TribalLand": blank, "TribalName": blank, "CreateDate": blank, "T_R_S": blank,
-        "Lat": F.col("dec_lat_va"), "Long": F.col("dec_long_va"), "Datum": F.col("dec_coord_datum_cd"),
-        "CollMethod": F.lit("Interpolation-Digital Map Source"), "MapScale": F.col("map_scale_fc"),
+        "Lat": number_text(F.col("dec_lat_va")), "Long": number_text(F.col("dec_long_va")), "Datum": F.col("dec_coord_datum_cd"),
+        "CollMethod": F.lit("Interpolation-Digital Map Source"), "MapScale": number_text(F.col("map_scale_fc")),
         "Comments": blank, "WellType": of_well(F.lit("Monitoring")), "WellForm": blank,
         "WellAquiferName": of_well(F.col("nat_aqfr_cd")),
-        "WellDepth": of_well(F.col("well_depth_va").cast("string")), "WellDepthUnit": F.lit("ft"),
+        "WellDepth": of_well(number_text(F.col("well_depth_va"))), "WellDepthUnit": F.lit("ft"),
         "AltLocID": blank, "AltLocName": blank, "EcoRegion3": blank, "EcoRegion4": blank, "Reachcode": blank,
         "GNIS_Name": blank, "AU_ID": blank,
     }

@@ -137,7 +137,7 @@ def portal_stats(
         "sumstats": sumstats,
         "pH_continuous": continuous_ph(
             ph, F.col("Monitoring_Location_ID"), F.col("datetime"), F.lit("UTC"), F.col("Equipment_ID"),
-            F.col("Result_Value"), F.col("Result_Unit"), F.col("Grade_Code"),
+            F.col("Result_Value"), F.col("Result_Unit"), F.col("Grade_Code").cast("int"),
         ),
         "pH_deployments": deployed(ph, ["Monitoring_Location_ID", "Equipment_ID"]),
     }

@@ -193,6 +193,7 @@ def test_daily_values(spark):
     assert (sites["01"].MonLocType, sites["02"].MonLocType, sites["01"].COUNTY, sites["01"].WellDepth) == (
         "River/Stream", "ERROR", "Benton", ""
     )
+    assert (sites["01"].Lat, sites["01"].Long) == ("44.5", "-123")
     assert sites["01"].MapScale == "" and len(tables["monitoring_locations"].columns) == 31
 
 
@@ -235,7 +236,7 @@ def test_portal(spark):
     assert extents["MA"].Activity_end_date_time == START + dt.timedelta(days=7, hours=23, seconds=1)
     ph = tables["pH_continuous"].collect()
     assert {(r.Monitoring_Location_ID, r.Equipment_ID, r.Result_Status_ID) for r in ph} == {
-        ("MB", "MB-202007-202007", 100.0)
+        ("MB", "MB-202007-202007", 100)
     }
     assert tables["pH_deployments"].first().Activity_start_end_time_Zone == "UTC"
 

@@ -394,7 +394,8 @@ _JSON_CHAR = {"click": "Temperature", "view": "Dissolved oxygen", "purchase": "p
 @query("portal_json_stats", f"""
 WITH rd AS (SELECT 'PDX_BES-' || user_id AS loc, {case_sql('event_type', _JSON_CHAR)} AS char,
                    date_trunc('second', ts) AS ts, value, props FROM events
-            WHERE (value > 200) IS NOT TRUE AND CAST(ts AS DATE) BETWEEN DATE '2024-02-01' - INTERVAL 30 DAYS AND DATE '2024-02-10'),
+            WHERE (value > 200) IS NOT TRUE
+              AND CAST(ts AS DATE) BETWEEN DATE '2024-02-01' - INTERVAL 30 DAYS AND DATE '2024-02-10'),
 oxy AS (SELECT 'PDX_BES-FC8' AS loc, ts, value FROM rd WHERE char = 'Dissolved oxygen'),
 hr AS ({hours_sql('oxy', 'loc', 'ts', 'value')}), dy AS ({days_sql('hr', 'loc')}),
 kp AS (SELECT *, row_number() OVER (PARTITION BY loc ORDER BY date) AS row FROM dy WHERE hrNday >= 22),

@@ -19,7 +19,7 @@ from riverstat.operators.template import (
 from riverstat.sources.services import explode_datasets
 
 from .registry import BASIS_SQL, STATISTICS, Tables, long_sql, query, round_sql
-from .series import SHIP_DAYS, SHIP_KEYS, SHIP_MOVED, ship_moved
+from .series import SHIP_DAYS, SHIP_MOVED, ship_moved
 
 _IDS = (
     "l_returnflag, l_linestatus, date, dDTmin, dDTmax, ana_startdate7, ana_enddate7, ana_startdate30, ana_enddate30"

@@ -64,7 +64,8 @@ SELECT n.o_orderkey, CASE WHEN e.uid IS NULL THEN 'new' WHEN n.result IS NOT DIS
             THEN 'suspected duplicate' ELSE 'suspected update' END AS dup_class, e.result AS stored_result,
        CAST(e.uid AS VARCHAR) AS stored_uid, CASE WHEN e.uid IS NULL THEN 0 ELSE 1 END AS stored_matches
 FROM n LEFT JOIN e ON n.site IS NOT DISTINCT FROM e.site AND n.char IS NOT DISTINCT FROM e.char
-     AND n.day IS NOT DISTINCT FROM e.day AND e.time = '00:00' AND n.method = e.method AND nullif(n.depth, '') IS NOT DISTINCT FROM e.depth AND e.stat = 'Maximum'""")
+     AND n.day IS NOT DISTINCT FROM e.day AND e.time = '00:00' AND n.method = e.method
+     AND nullif(n.depth, '') IS NOT DISTINCT FROM e.depth AND e.stat = 'Maximum'""")
 def dup_classify(t: Tables) -> DataFrame:
     classified = classify_duplicates(new_results(t), stored(t))
     return classified.select(

@@ -14,8 +14,8 @@ from .joins import null_safe_join
 def place_in_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Cut the rows into even slices of a global order, numbered in `_slice`.
 
-    `order` identifies a row, so no value can dominate a slice. The result is checkpointed: the slice bounds are sampled,
-    and every use has to see the same ones, also after the loss of an executor.
+    `order` identifies a row, so no value can dominate a slice. The result is checkpointed: the slice bounds are
+    sampled, and every use has to see the same ones, also after the loss of an executor.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)

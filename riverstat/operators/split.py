@@ -19,7 +19,7 @@ _ENTERED = "block long, need long, files long"
 
 
 def _one_per_exit(exits: pd.DataFrame) -> pd.DataFrame:
-    """Neighbouring entries with the same exit become one: the last, since the walk looks for the first one it reaches."""
+    """Neighbouring entries with the same exit become one: the last, since the walk takes the first it reaches."""
     same = (exits["need"] == exits["need"].shift(-1)) & (exits["files"] == exits["files"].shift(-1))
     return exits[~same]
 
@@ -83,9 +83,9 @@ def file_numbers(
     """File number of every key: groups in key order fill a file until it has more than `size` rows.
 
     A file that begins `b` rows into the order is followed by the one at the first group that begins at or after
-    `b + size + 1`. That walk is sequential, but only through one number. So the groups are cut into blocks of the order,
-    and each block works out, in its own task, where the walk leaves it for every place it may enter it: these lie in its
-    first `size + 1` rows, and places with the same exit are merged. Blocks are merged in the same way, `fan` at a time,
+    `b + size + 1`. That walk is sequential, but only through one number. So the groups are cut into blocks of the
+    order, and each block works out, in its own task, where the walk leaves it for every place it may enter it: these
+    lie in its first `size + 1` rows, and places with the same exit are merged. Blocks are merged in the same way, `fan` at a time,
     until `fan` are left; from there the walk's state is handed back down and the blocks number their groups. A task
     holds one block of groups or the exits of `fan` blocks. Only counts per key are handled here, never the rows.
     """

@@ -91,7 +91,8 @@ def site_records(sites: DataFrame, counties: DataFrame) -> DataFrame:
         "Stationkey": F.col("site_no"), "Desc": F.col("station_nm"), "SiteComments": blank, "MonLocType": kind,
         "COUNTY": F.col("county_nm"), "STATE": F.lit("OR"), "Country": F.lit("US"), "HUC8": F.col("huc_cd"),
         "HUC12": blank, "TribalLand": blank, "TribalName": blank, "CreateDate": blank, "T_R_S": blank,
-        "Lat": number_text(F.col("dec_lat_va")), "Long": number_text(F.col("dec_long_va")), "Datum": F.col("dec_coord_datum_cd"),
+        "Lat": number_text(F.col("dec_lat_va")), "Long": number_text(F.col("dec_long_va")),
+        "Datum": F.col("dec_coord_datum_cd"),
         "CollMethod": F.lit("Interpolation-Digital Map Source"), "MapScale": number_text(F.col("map_scale_fc")),
         "Comments": blank, "WellType": of_well(F.lit("Monitoring")), "WellForm": blank,
         "WellAquiferName": of_well(F.col("nat_aqfr_cd")),

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from .ordering import place_in_slices, running_total
 
+# The task code below travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Rows of input that one block of groups covers (a block holds at most this many groups), and blocks merged at once.
 BLOCK_ROWS = 1_000_000
 FAN = 32

@@ -1,6 +1,9 @@
 """Operators that need a global order: running totals, quantiles, bounded files."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -129,3 +132,23 @@ def test_distribution_equals_numpy(spark):
 def test_status_share(spark):
     df = spark.createDataFrame([("PUB",)] * 2 + [("PRO",)], "s string")
     assert {r.s: (r.n, r.per_status) for r in status_share(df, "s").collect()} == {"PUB": (2, 66.67), "PRO": (1, 33.33)}
+
+
+def test_split_needs_no_package_on_the_executors(tmp_path):
+    """Started elsewhere, with the package on the driver's path only."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {root!r})
+from riverstat.session import get_session
+from riverstat.operators.split import file_numbers
+spark = get_session(master="local[2]", **{{"spark.sql.shuffle.partitions": "2"}})
+df = spark.range(40).withColumnRenamed("id", "key")
+print("files", file_numbers(df, "key", 3, 4, 2).agg({{"file_no": "max"}}).first()[0])
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120
+    )
+    assert "files 10" in done.stdout, done.stderr[-2000:]

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -42,10 +43,18 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder and read from there from now on."""
+def cut(df: DataFrame, rows_per_file: int = 10_000) -> DataFrame:
+    """The rows, written to the shared folder and read from there from now on.
+
+    They are computed with all partitions the plan has and written in files of about `rows_per_file` rows, so a shuffle's
+    many partitions do not become as many small files.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    files = max(1, -(-held.count() // rows_per_file))
+    written = held.coalesce(files).checkpoint()
+    held.unpersist()
+    return written
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:

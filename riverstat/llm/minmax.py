@@ -7,10 +7,11 @@ of the 40 bands are candidates. Two documents of similarity 0.8 miss all bands w
 hardly ever agree in one.
 
 Equal sets are one class with the smallest doc_id as its representative, so copies never meet in pairs. Candidates are
-confirmed on the full sets, and components of the confirmed links need not know all pairs: first each bucket's members are
-compared with one of them; then only buckets that still hold several components go on, each component's pivot against the
-members of the others; at last all pairs of members of different components in such buckets that were not yet compared.
-So every candidate pair is compared unless it is known to be in one component already, and no bucket is capped.
+confirmed on the full sets, and components of the links need not know all pairs. First each bucket's members are compared
+with one of them. Buckets of three or more members that still hold several components go on: what hangs together by them is a
+cluster, and the sets of a cluster's members are compared in tasks, by blocks of at most `BLOCK` members against each other.
+A task compares all members of different components and returns one row for each member that it could link, not pairs. So
+every candidate pair is compared unless it is known to be in one component already, and no bucket is capped.
 
 Words are the runs of other characters than ASCII white space, with A-Z in lower case; fewer words than a shingle has are one
 shingle. Defined cases: documents without words (null and empty text too) link with nothing and are kept; so do rows
@@ -21,6 +22,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,6 +33,7 @@ from .components import components
 
 ORDERS, ROWS = 120, 6
 SEND = 1_000_000  # ids that tasks may get
+BLOCK = 512  # members of a cluster in a block
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -148,6 +151,70 @@ def _pairs(joined: DataFrame, percent: int) -> DataFrame:
     ).dropDuplicates(["x", "y"])
 
 
+def _similar(sets: list[np.ndarray], rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (of `rows` and of all sets) that are similar enough, by products of 0/1 matrices."""
+    size = np.array([len(x) for x in sets])
+    row, flat = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count[column] > 1  # others are in no intersection
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(rows), len(sets)))
+    for at in range(0, int((count > 1).sum()), 8192):
+        part = slice(*np.searchsorted(column, [at, at + 8192]))
+        held = np.zeros((len(sets), 8192), dtype=np.float32)
+        held[row[part], column[part] - at] = 1
+        common += held[rows] @ held.T
+    i, j = np.nonzero(100 * common >= percent * (size[rows][:, None] + size[None, :] - common))
+    return rows[i], j
+
+
+def _in_clusters(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links x, y between different components that share a bucket, as far as components need them."""
+    now = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "bucket", "rep", F.coalesce("component", "rep").alias("component")
+    )
+    several = now.groupBy("bucket").agg(
+        F.min("component").alias("c"), F.max("component").alias("d"), F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")
+    ).filter("c < d AND n > 2").select("bucket", "first")  # two members have been compared
+    now = cut(now.join(cut(several), "bucket"))
+    if now.isEmpty():
+        return None
+    clusters = components(now, "first", "rep").withColumnsRenamed({"node": "rep", "component": "cluster"})
+    labelled = cut(now.select("rep", "component").distinct().join(clusters, "rep"))
+    blocks = labelled.groupBy("cluster").agg(F.expr(f"CAST(ceil(count(1) / {BLOCK}) AS INT)").alias("blocks"))
+    parted = labelled.join(blocks, "cluster").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    work = parted.withColumn("other", other).select(
+        "cluster", "rep", "component", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")
+    ).join(sets.withColumnRenamed("id", "rep"), "rep")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        rep, label = pdf["rep"].to_numpy(), pdf["component"].to_numpy()
+        labels, count = np.unique(label, return_counts=True)
+        rows = np.flatnonzero(label != labels[count.argmax()])  # one of any two that differ is here
+        if not len(rows):
+            return pd.DataFrame({"x": [], "y": []}, dtype="int64")
+        i, j = _similar(list(pdf["members"]), rows, percent)
+        # Components in the block, from those that are known: one link a member suffices.
+        root = label.copy()
+        while True:
+            least = np.minimum(root[i], root[j])
+            top = dict(zip(labels.tolist(), labels.tolist()))
+            for name, to in zip(np.append(label[i], label[j]).tolist(), np.append(least, least).tolist()):
+                top[name] = min(top[name], to)
+            new = np.minimum(root, np.array([top[x] for x in label.tolist()]))
+            if (new == root).all():
+                break
+            root = new
+        moved = root != label
+        return pd.DataFrame({"x": root[moved], "y": rep[moved]}).astype("int64")
+
+    more = cut(work.groupBy("cluster", "lo", "hi").applyInPandas(compare, "x long, y long"))
+    return None if more.isEmpty() else more
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents whose sets have a similarity of `percent` or more are linked."""
     ship(docs.sparkSession)
@@ -164,34 +231,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     members = cut(entries.join(shared.select("bucket"), "bucket", "left_semi"))
     sets = cut(_sets(_of_ids(docs, members.select(F.col("rep").alias("doc_id")).distinct(), "left_semi"), words))
 
-    tested = cut(_pairs(members.join(shared, "bucket"), percent))
-    links = cut(_confirmed(tested, sets, percent))
-    for step in ("pivots", "rest"):
-        found = components(links, "x", "y")
-        now = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep")
-        )
-        several = now.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d")
-        now = cut(now.join(several.select("bucket"), "bucket", "left_semi"))
-        if step == "pivots":
-            other = now.groupBy("bucket", "component").agg(
-                F.min_by(F.struct("rep", "n"), F.xxhash64("rep")).alias("p")
-            ).select("bucket", F.col("component").alias("other"), F.col("p.rep").alias("pivot"), F.col("p.n").alias("pn"))
-        else:
-            other = now.select(
-                "bucket", F.col("component").alias("other"), F.col("rep").alias("pivot"), F.col("n").alias("pn")
-            )
-        open_pairs = now.join(cut(other), "bucket").filter(F.col("component") != F.col("other"))
-        new = cut(_pairs(open_pairs, percent).join(tested.select("x", "y"), ["x", "y"], "left_anti"))
-        if new.isEmpty():
-            break
-        more = cut(_confirmed(new, sets, percent))
-        if step == "pivots":
-            tested = tested.unionByName(new)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-    else:
-        found = components(links, "x", "y")
+    links = cut(_confirmed(_pairs(members.join(shared, "bucket"), percent), sets, percent))
+    found = components(links, "x", "y")
+    more = _in_clusters(members, found, sets, percent)
+    if more is not None:
+        found = components(links.unionByName(more), "x", "y")
 
     of_class = cut(
         classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")

@@ -33,7 +33,7 @@ FIELDS = T.StructType([
 ])
 
 # Distinct words, and pieces of text, whose ids a task remembers; more may be in use for one list of texts.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 # Bytes of text whose words are merged together.
 TOGETHER = 12 << 20

@@ -18,6 +18,7 @@ to the language that sorts first; rows without doc_id are never learned from; ot
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +38,27 @@ _BLANK = 32
 _ROWS = 192  # texts whose counts are multiplied together
 
 
+@lru_cache(1)
+def _folded() -> np.ndarray:
+    """Each code point's letter in lower case, or a blank."""
+    fold = np.full(0x110000, _BLANK, dtype=np.uint32)
+    for point in range(0x110000):
+        letter = chr(point)
+        if letter.isalpha():
+            lower = letter.lower()
+            fold[point] = ord(lower) if len(lower) == 1 else point
+    return fold
+
+
 class Space:
     """Vectors of letters and n-grams; remembers those it has made (bounded)."""
 
-    def __init__(self, dimensions: int = DIMENSIONS, n: int = N, seed: int = SEED, remembered: int = 30_000) -> None:
+    def __init__(self, dimensions: int = DIMENSIONS, n: int = N, seed: int = SEED, remembered: int = 10_000) -> None:
         self.dimensions, self.n, self._seed, self._remembered = dimensions, n, seed, remembered
         self._letters: dict[int, np.ndarray] = {}
         self._codes = np.empty(0, dtype=np.int64)
         self._vectors = np.empty((0, dimensions), dtype=np.float32)
-        fold = np.full(0x110000, _BLANK, dtype=np.uint32)
-        for point in range(0x110000):
-            letter = chr(point)
-            if letter.isalpha():
-                lower = letter.lower()
-                fold[point] = ord(lower) if len(lower) == 1 else point
-        self._fold = fold
+        self._fold = _folded()
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self._letters:
@@ -135,16 +142,6 @@ class Profiles:
     seed: int
 
 
-_SPACES: dict[tuple, Space] = {}
-
-
-def _space(dimensions: int, n: int, seed: int) -> Space:
-    key = (dimensions, n, seed)
-    if key not in _SPACES:
-        _SPACES[key] = Space(dimensions, n, seed)
-    return _SPACES[key]
-
-
 def _unit(vectors: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
     return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
@@ -160,7 +157,7 @@ def learn(
     chosen = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < F.lit(round(share * (1 << 30)))
 
     def run(batches):
-        space, sums = _space(dimensions, n, seed), {}
+        space, sums = Space(dimensions, n, seed), {}
         for batch in batches:
             for piece in pieces(batch, "text", 4 << 20):
                 vectors = _unit(space.bundle(piece.column("text").to_pylist()))
@@ -192,7 +189,7 @@ def predict(docs: DataFrame, profiles: Profiles, column: str = "text", into: str
     prototypes = profiles.prototypes.T.astype(np.float64)
 
     def start():
-        space = _space(profiles.dimensions, profiles.n, profiles.seed)
+        space = Space(profiles.dimensions, profiles.n, profiles.seed)
 
         def compute(texts):
             vectors = space.bundle(texts)

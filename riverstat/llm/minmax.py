@@ -47,7 +47,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Sets of hashed shingles of texts; remembers the hashes of words."""
 
-    def __init__(self, words: int, remembered: int = 400_000) -> None:
+    def __init__(self, words: int, remembered: int = 200_000) -> None:
         self._words, self._memo = words, Memo(remembered)
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:

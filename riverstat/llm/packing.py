@@ -32,7 +32,7 @@ from .common import Memo, cut, with_struct
 BLOCK = 8192
 
 # Words whose ids a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _SIGNS = (b".", b",")
 

@@ -54,7 +54,7 @@ def terms_of(word: str) -> list[int]:
 class Terms:
     """Distinct terms of texts; remembers those of words it has met."""
 
-    def __init__(self, of_word, remembered: int = 400_000) -> None:
+    def __init__(self, of_word, remembered: int = 200_000) -> None:
         self._of_word, self._memo = of_word, Memo(remembered)
 
     def of(self, texts: list[str | None]) -> list[set[int]]:

@@ -16,7 +16,7 @@ from riverstat.plans import (
     submission_distribution,
     submission_stats,
 )
-from riverstat.plans.daily_max import published
+from riverstat.plans.daily_max import of_characteristics, published
 from riverstat.plans.daily_values import OXYGEN_MOVING, OXYGEN_PAIRS, daily_value_template
 
 from .registry import (
@@ -279,7 +279,10 @@ def daily_max(t: Tables) -> DataFrame:
         F.col("dyMax").alias("Result_Value"),
         F.when(F.col("l_linestatus") == "F", F.lit(K.PUBLISHED)).otherwise(F.lit("PRO")).alias("published_status"),
     )
-    return text_dates(daily_max_temperature(published(days), "Call"), "ActStartDate", "ActEndDate")
+    flow = days.withColumns({"Result_Value": F.col("Result_Value") + 1000, "Characteristic_Name": F.lit("mean_daily_flow_cfs")})
+    mixed = days.withColumn("Characteristic_Name", F.lit("daily_max_water_temp_C")).unionByName(flow)
+    rows = daily_max_temperature(of_characteristics(published(mixed)), "Call")
+    return text_dates(rows, "ActStartDate", "ActEndDate")
 
 
 # events as portal readings; station `error` has a ready-made 7-day series, station `click` has not

@@ -143,6 +143,7 @@ HYDROLOGY_VALUE_COLUMNS = (
     "daily_min_water_temp_F",
     "daily_max_water_temp_CÂ",
 )
+DAILY_MAX_CELSIUS = ("daily_max_water_temp_C", "daily_max_water_temp_CÂ")
 PUBLISHED = "PUB"
 
 # Alternate project of the one submitter that leaves the project sheet out

@@ -6,8 +6,11 @@ flows and sinks can be combined in other ways; these are the usual ones.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from . import constants as K
 from . import plans, schemas, sinks
 from .operators.deploy import instrument_is_location
 from .operators.reconcile import drop_existing, stored_results
@@ -92,9 +95,14 @@ def portal_json_files(spark: SparkSession, path: str, startdate: str, enddate: s
     return tables
 
 
-def hydrology_files(spark: SparkSession, paths: dict[str, str], project: str, out: str) -> DataFrame:
-    """Landed daily maximum temperatures of the state hydrology service, published ones only."""
-    rows = plans.published(services.read_hydrology(spark, paths))
+def hydrology_files(
+    spark: SparkSession, paths: dict[str, str], project: str, out: str, characteristics: Sequence[str] = K.DAILY_MAX_CELSIUS
+) -> DataFrame:
+    """Landed daily maximum temperatures of the state hydrology service, published ones only.
+
+    Other characteristics of the files are left out.
+    """
+    rows = plans.of_characteristics(plans.published(services.read_hydrology(spark, paths)), characteristics)
     stats = plans.daily_max_temperature(rows, project)
     sinks.write_bounded(stats, f"{out}/sumstats", "SiteID")
     return stats

@@ -15,11 +15,11 @@ def to_statistics(
 ) -> DataFrame:
     """One row per statistic (`StatisticalBasis`, `Result`); absent columns and NULL values give no row."""
     present = {c: name for c, name in columns.items() if c in df.columns}
-    return (
-        df.withColumnsRenamed(present)
-        .unpivot(list(ids), list(present.values()), "StatisticalBasis", "Result")
-        .filter(F.col("Result").isNotNull())
-    )
+    # `inline` and not `unpivot`: what templates compute above an Expand does not compile to Java.
+    cells = F.array(*(
+        F.struct(F.lit(name).alias("StatisticalBasis"), F.col(c).alias("Result")) for c, name in present.items()
+    ))
+    return df.select(*ids, F.inline(cells)).filter(F.col("Result").isNotNull())
 
 
 def flagged_long(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def published(df: DataFrame) -> DataFrame:
     return df.filter(F.col("published_status") == K.PUBLISHED)
 
 
+def of_characteristics(df: DataFrame, names: Sequence[str] = K.DAILY_MAX_CELSIUS) -> DataFrame:
+    """Rows of the asked characteristics; other value columns of the same files are not temperatures."""
+    return df.filter(F.col("Characteristic_Name").isin(*names))
+
+
 def daily_max_temperature(df: DataFrame, project: str = "") -> DataFrame:
     """Template rows of daily maxima (`station_nbr, record_date, Result_Value`) and of the 7-day means over them."""
     keys, day = ["station_nbr"], "Date"

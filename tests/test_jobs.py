@@ -93,9 +93,11 @@ def test_portal_json_files(spark, tmp_path):
 def test_hydrology_files(spark, tmp_path):
     rows = "".join(f"14335500\t07-{d:02d}-2020\t18.5\t{'PUB' if d < 9 else 'PRO'}\n" for d in range(1, 12))
     path = put(tmp_path, "max.txt", "station_nbr\trecord_date\tdaily_max_water_temp_C\tpublished_status\n" + rows)
-    jobs.hydrology_files(spark, {"WTEMP_MAX": path}, "Call", str(tmp_path / "out"))
+    flow = put(tmp_path, "flow.txt", "station_nbr\trecord_date\tmean_daily_flow_cfs\tpublished_status\n" + rows.replace("18.5", "500"))
+    jobs.hydrology_files(spark, {"WTEMP_MAX": path, "MDF": flow}, "Call", str(tmp_path / "out"))
     stats = read(spark, tmp_path / "out" / "sumstats")
     assert (stats.count(), stats.filter("StatisticalBasis = '7DMADMax'").count()) == (10, 2)
+    assert {float(r.Result) for r in stats.collect()} == {18.5}
 
 
 def test_instrument_fix(spark, tmp_path):

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from . import constants as K
-from .operators.split import bounded_split
+from .operators.split import file_numbers
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sort: Sequence[str] = ()) -> None:
@@ -39,8 +39,9 @@ def write_if_any(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
 def write_bounded(
     df: DataFrame, path: str, key: str, size: int = K.SPLIT_SIZE, mode: str = "errorifexists"
 ) -> None:
-    """One folder per numbered file; a group is never spread over two numbers."""
-    write_by_source(bounded_split(df, key, size), path, "file_no", mode=mode, sort=(key,))
+    """One folder per numbered file; a group is never spread over two numbers. Rows without a key get a folder of their own."""
+    numbered = df.join(file_numbers(df, key, size), key, "left")
+    write_by_source(numbered, path, "file_no", mode=mode, sort=(key,))
 
 
 def write_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists") -> list[str]:

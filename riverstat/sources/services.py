@@ -16,17 +16,21 @@ from .files import source_name
 def read_portal(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
     """Portal exports, each tagged with the station, characteristic and unit of its request.
 
-    `requests` has `file_name` (without extension), `station`, `char`, `unit`. The banner and header lines are the ones
-    that do not begin with a date.
+    `requests` has `file_name` (without extension), `station`, `char`, `unit`. The first line of a file is a banner, the next
+    names the columns; all others are rows, also those whose time does not parse (it is NULL then). A file that no request
+    names is an error.
     """
-    raw = spark.read.schema(schemas.PORTAL_CSV).csv(path, mode="PERMISSIVE")
-    rows = raw.select("*", source_name().alias("file_name")).filter(F.col("datetime").rlike(r"^\d{4}-"))
+    raw = spark.read.schema(schemas.PORTAL_CSV).csv(path, mode="PERMISSIVE", header=True)
+    named = F.lower("datetime").rlike("^(timestamp|date)")
+    rows = raw.select("*", source_name().alias("file_name")).filter(~F.coalesce(named, F.lit(False)))
     tags = requests.select(
         "file_name", F.col("station").alias("Monitoring_Location_ID"),
-        F.col("char").alias("Characteristic_Name"), F.col("unit").alias("Result_Unit"),
+        F.col("char").alias("Characteristic_Name"), F.col("unit").alias("Result_Unit"), F.lit(True).alias("asked"),
     )
+    unknown = F.raise_error(F.concat(F.lit("no request names the file "), F.col("file_name"))).cast("string")
     return (
-        rows.join(tags, "file_name")
+        rows.join(tags, "file_name", "left")
+        .withColumn("Monitoring_Location_ID", F.when(F.col("asked").isNull(), unknown).otherwise(F.col("Monitoring_Location_ID")))
         .withColumn("datetime", F.col("datetime").try_cast("timestamp_ntz"))
         .select(*schemas.PORTAL_COLUMNS)
     )

@@ -78,6 +78,12 @@ def test_portal_exports(spark, tmp_path):
         [("req1", "FC-8", "Temperature.Primary", "degC"), ("req2", "VNB", "Temperature.Primary", "degC")],
         "file_name string, station string, char string, unit string",
     )
+    put(tmp_path, "more/req2.csv", body.replace("2019-04-01T00:30:00", "soon"))
+    odd = services.read_portal(spark, str(tmp_path / "more"), asked)
+    assert (odd.count(), odd.filter("datetime IS NULL").count()) == (2, 1)
+    put(tmp_path, "unasked/other.csv", body)
+    with pytest.raises(Exception, match="no request names the file other"):
+        services.read_portal(spark, str(tmp_path / "unasked"), asked).collect()
     df = services.read_portal(spark, str(tmp_path), asked)
     assert tuple(df.columns) == schemas.PORTAL_COLUMNS
     assert df.count() == 4
@@ -207,6 +213,10 @@ def test_bounded_sink(spark, tmp_path):
     back = spark.read.csv(str(tmp_path / "split"), header=True)
     assert back.count() == 100
     assert sorted(r["count"] for r in back.groupBy("file_no").count().collect()) == [10, 30, 30, 30]
+    keyless = df.limit(7).withColumn("site", F.lit(None).cast("long"))
+    sinks.write_bounded(df.unionByName(keyless), str(tmp_path / "keyless"), "site", 25)
+    back = spark.read.csv(str(tmp_path / "keyless"), header=True)
+    assert sorted(r["count"] for r in back.groupBy("file_no").count().collect()) == [7, 10, 30, 30, 30]
 
 
 def test_large_source_is_written_by_several_tasks(spark, tmp_path):

@@ -39,12 +39,10 @@ def text_dates(df: DataFrame, *names: str) -> DataFrame:
 
 
 def mean_sql(value: str, over: str = "") -> str:
-    """The order-free mean: whole billionths, added as integers."""
+    """Sum of the values as decimals, by their count."""
     window = f" OVER {over}" if over else ""
-    return (
-        f"(CAST(sum(CAST(floor(({value}) * 1e9 + 0.5) AS HUGEINT)){window} AS DOUBLE)"
-        f" / (count({value}){window} * 1e9))"
-    )
+    total = f"sum(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18))){window}"
+    return f"(CAST(CAST({total} AS VARCHAR) AS DOUBLE) / count({value}){window})"
 
 
 def round_sql(value: str, digits: int) -> str:

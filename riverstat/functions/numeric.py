@@ -5,26 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Means add whole billionths. Integer addition gives the same sum in every order, so a mean does not depend on
-# partitioning, retries or task order, and results rounded afterwards compare equal from one run to the next.
-_UNITS = 1e9
-_LARGEST = 4e9
+# Means add decimals. Their addition gives the same sum in every order, so a mean does not depend on partitioning, retries
+# or task order, and results rounded afterwards compare equal from one run to the next.
+_EXACT = "decimal(38,18)"
 
 
-def mean_parts(value: Column) -> tuple[Column, Column, Column, Column]:
+def _fitting(made: Column, given: Column) -> Column:
+    """`made`; an error where it is NULL although something is given."""
+    too_large = F.raise_error(F.lit(f"a mean needs values and sums that fit {_EXACT}")).cast(_EXACT)
+    return F.when(given & made.isNull(), too_large).otherwise(made)
+
+
+def mean_parts(value: Column) -> tuple[Column, Column]:
     """The aggregates a mean is made of; over a window, each of them is evaluated once."""
-    units = F.when(F.abs(value) < _LARGEST, F.floor(value * F.lit(_UNITS) + F.lit(0.5)))
-    return F.count(value), F.count(units), F.try_sum(units), F.avg(value)
+    number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    exact = _fitting(number.try_cast(_EXACT), number.isNotNull())
+    return F.count(number), F.try_sum(exact)
 
 
-def mean_from(n: Column, n_units: Column, total: Column, plain: Column) -> Column:
-    """Mean from its parts. Values too large for the integer path, and sums that overflow it, give the plain mean."""
-    exact = F.try_divide(F.when(n_units == n, total).cast("double"), n * F.lit(_UNITS))
-    return F.coalesce(exact, plain)
+def mean_from(n: Column, total: Column) -> Column:
+    """Mean from its parts."""
+    return F.try_divide(_fitting(total, n > 0).cast("double"), n)
 
 
 def mean_of(value: Column) -> Column:
-    """Mean of the non-NULL values, as an aggregate."""
+    """Mean of the values that are neither NULL nor NaN, as an aggregate.
+
+    One rule for all magnitudes: values count to 18 decimals, and a value or sum of 1e20 or more is an error.
+    """
     return mean_from(*mean_parts(value))
 
 

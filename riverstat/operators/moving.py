@@ -52,7 +52,7 @@ def moving(
         parts[f"_rows{days}"] = F.count(F.lit(1)).over(frame)
         enough = (F.col(f"_rows{days}") >= days - 1) & (F.col("row") >= days)
         for stat in (s for s in stats if s.days == days):
-            names = [f"_{stat.out}_{i}" for i in range(4)]
+            names = [f"_{stat.out}_n", f"_{stat.out}_sum"]
             parts.update(zip(names, (p.over(frame) for p in mean_parts(F.col(stat.value))), strict=True))
             usable = enough & (F.col(names[0]) == F.col(f"_rows{days}")) if null_poison else enough
             rules[stat.out] = F.when(usable, mean_from(*map(F.col, names)))

@@ -64,12 +64,19 @@ def test_mean_does_not_depend_on_order(spark):
     assert math.isclose(means.pop(), math.fsum(values) / len(values), abs_tol=1e-9)
 
 
-def test_mean_of_large_values_and_nulls(spark):
-    df = spark.createDataFrame([(1e300,), (3e300,), (None,)], "x double")
-    assert df.agg(mean_of(F.col("x"))).first()[0] == 2e300
-    near = spark.createDataFrame([(3.9e9,)] * 6, "x double")  # the integer sum overflows
-    assert near.agg(mean_of(F.col("x"))).first()[0] == 3.9e9
-    assert df.filter("x is null").agg(mean_of(F.col("x"))).first()[0] is None
+def test_mean_has_one_rule_for_all_magnitudes(spark):
+    def mean(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(mean_of(F.col("x"))).first()[0]
+
+    assert mean(1e-10, 3e-10) == 2e-10
+    assert mean(0.1234567891234, 0.1234567891239) == 0.12345678912365
+    assert mean(1e-10, 1.0, 1e10) == (1e10 + 1 + 1e-10) / 3
+    assert mean(*[3.9e9] * 6) == 3.9e9
+    assert mean(None, 2.0, math.nan) == 2.0
+    assert mean(None, None) is None
+    for values in ((1e300, 3e300), (math.inf,), (9e19, 9e19)):
+        with pytest.raises(Exception, match="a mean needs values and sums that fit"):
+            mean(*values)
 
 
 def test_mean_of_decimals(spark):

@@ -14,12 +14,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Rows that a Python worker gets at once. Spark's own 10,000 are tens of MB of texts, sets or signatures, which the JVM, the
+# pipe and the worker each hold once or more.
+_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session, so that tasks import it and nothing need be installed there."""
+    """Send this package to the executors, once a session, so that tasks import it and nothing need be installed there.
+
+    Python workers get smaller batches from then on.
+    """
+    spark.conf.set(*_BATCH)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

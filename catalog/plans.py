@@ -411,7 +411,7 @@ al AS (SELECT 'Dissolved oxygen (DO)' AS "charID", {round_sql('Result', 2)} AS "
               {BASIS_SQL} AS "RsltTimeBasis", 'Generated by ORDEQ' AS cmnt, loc AS "Monitoring_Location_ID",
               dDTmax AS day FROM lg
        UNION ALL SELECT 'Temperature, water', value, 'deg C', 'FO SOP 1.05a', '900', '7DMADMax', '7 day', props, loc, ts
-       FROM rd WHERE char = 'Temperature')
+       FROM rd WHERE char = 'Temperature' AND loc IN (SELECT 'PDX_BES-' || user_id FROM events WHERE user_id % 2 = 0))
 SELECT * EXCLUDE (day), {_PORTAL_COMMON}, 'PST' AS "ActStartTimeZone", 'PST' AS "ActEndTimeZone",
        '' AS "AnaStartDate", '' AS "AnaStartTime", '' AS "AnaStartTimeZone", '' AS "AnaEndDate", '' AS "AnaEndTime",
        '' AS "AnaEndTimeZone", 'Integrated Report - Call for Data' AS "Project",
@@ -427,6 +427,7 @@ def portal_json_tables(t: Tables) -> dict[str, DataFrame]:
     points = t.events.select(
         F.when(kind == "view", F.lit("FC-8")).otherwise(F.col("user_id").cast("string")).alias("locationIdentifier"),
         lookup(kind, _JSON_CHAR).alias("parameter"),
+        F.when((kind == "click") & (F.col("user_id") % 2 == 0), F.lit("7DADM")).otherwise(F.lit("Primary")).alias("label"),
         lookup(kind, {"click": "deg C"}, "mg/l").alias("unit"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "value",
         F.when(F.col("value") > 200, F.lit(50)).otherwise(F.lit(100)).alias("gradeCode"),

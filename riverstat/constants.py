@@ -121,6 +121,8 @@ JSON_PORTAL_ALIASES = {
     "PDX_BES-TC-6": "PDX_BES-TC6",
 }
 JSON_PORTAL_PROJECT = "Integrated Report - Call for Data"
+# Labels of the data sets that are asked for, by parameter
+JSON_PORTAL_LABELS = {"Temperature": "7DADM", "Dissolved oxygen": "Primary", "pH": "Primary"}
 LOOK_BACK_DAYS = 30
 
 # State hydrology service: data sets and value columns

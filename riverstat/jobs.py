@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import constants as K
 from . import plans, schemas, sinks
 from .operators.deploy import instrument_is_location
-from .operators.reconcile import drop_existing, stored_results
+from .operators.reconcile import drop_existing, new_deployments, stored_results
 from .sources import files, loggers, services, submissions
 
 
@@ -88,9 +88,15 @@ def portal_files(
     return tables
 
 
-def portal_json_files(spark: SparkSession, path: str, startdate: str, enddate: str, out: str) -> dict[str, DataFrame]:
-    """Landed data sets of the city portal's JSON service."""
-    tables = plans.portal_json_stats(services.read_datasets(spark, path), startdate, enddate)
+def portal_json_files(
+    spark: SparkSession, path: str, startdate: str, enddate: str, out: str, catalogue: str | None = None
+) -> dict[str, DataFrame]:
+    """Landed data sets of the city portal's JSON service; with `catalogue`, only sets that are in it under an asked label."""
+    points = services.read_datasets(spark, path)
+    if catalogue is not None:
+        labels = sorted(set(K.JSON_PORTAL_LABELS.values()))
+        points = services.wanted_datasets(points, *(services.read_catalogue(spark, catalogue, name) for name in labels))
+    tables = plans.portal_json_stats(points, startdate, enddate)
     sinks.write_tables(tables, out)
     return tables
 
@@ -109,13 +115,19 @@ def hydrology_files(
 
 
 def without_stored(
-    spark: SparkSession, new: DataFrame, existing: DataFrame, organization: str, out: str,
-    startdate: str = "2020-01-01", enddate: str = "2024-12-31",
+    spark: SparkSession, new: DataFrame, existing: DataFrame, organization: str, startdate: str, enddate: str, out: str
 ) -> None:
-    """Import rows that the results store does not hold yet."""
+    """Import rows that the results store does not hold yet, compared with what it holds between the two dates."""
     sinks.write_csv(drop_existing(new, stored_results(existing, new, organization, startdate, enddate)), out)
 
 
+def new_deployment_files(
+    spark: SparkSession, deployed: DataFrame, known: DataFrame, out: str, organization: str | None = None
+) -> None:
+    """Deployments at locations that the store has no equipment for."""
+    sinks.write_csv(new_deployments(deployed, known, organization), out)
+
+
 def name_instruments_after_locations(spark: SparkSession, path: str, out: str, glob: str = "*pH*") -> None:
     """Continuous pH imports of a folder with the location as instrument, one folder per file."""
     fixed = instrument_is_location(submissions.read_continuous_ph(spark, path, glob))
@@ -124,5 +136,6 @@ def name_instruments_after_locations(spark: SparkSession, path: str, out: str, g
 
 __all__ = [
     "daily_value_files", "hydrology_files", "logger_files", "multi_part_files", "name_instruments_after_locations",
+    "new_deployment_files",
     "portal_files", "portal_json_files", "submission_files", "without_stored",
 ]

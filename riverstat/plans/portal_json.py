@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import activity_id, round_nearest, wall_clock
+from ..functions import activity_id, lookup, round_nearest, wall_clock
 from ..operators.deploy import IMPORT_NAMES, deployments, import_form
 from ..operators.moving import MAX_7, MEAN_7, MEAN_30, MIN_7, moving
 from ..operators.quality import date_window, keep_grades, station_identifier
@@ -15,10 +15,18 @@ from ..operators.template import JSON_PORTAL, continuous_ph, time_basis, to_temp
 from .portal import portal_days
 
 
+def wanted_sets(points: DataFrame) -> DataFrame:
+    """Points of the data sets that are asked for: of a known parameter, and with that parameter's label."""
+    return points.filter(F.col("label") == lookup(F.col("parameter"), K.JSON_PORTAL_LABELS))
+
+
 def portal_json_stats(points: DataFrame, startdate: str, enddate: str) -> dict[str, DataFrame]:
-    """All results of the exploded data sets (`sources.services.read_datasets`), 30 days of look-back included."""
+    """All results of the exploded data sets (`sources.services.read_datasets`), 30 days of look-back included.
+
+    Other data sets than those asked for are left out: a raw temperature is not a 7-day mean.
+    """
     good = keep_grades(
-        points, "gradeCode", "approvalLevel", (K.GOOD_GRADE,), (K.WORKING_LEVEL, K.APPROVED_LEVEL)
+        wanted_sets(points), "gradeCode", "approvalLevel", (K.GOOD_GRADE,), (K.WORKING_LEVEL, K.APPROVED_LEVEL)
     ).withColumns({
         "locationIdentifier": station_identifier(F.col("locationIdentifier")),
         "datetime": wall_clock(F.col("timestamp"), K.JSON_PORTAL_ZONE),

@@ -38,7 +38,7 @@ PORTAL_JSON = T.StructType([
     T.StructField("points", T.ArrayType(_schema(
         timestamp=_S, value=_D, gradeCode=_L, approvalLevel=_L, comment=_S,
     ))),
-    T.StructField("dataset", _schema(locationIdentifier=_S, parameter=_S, unit=_S)),
+    T.StructField("dataset", _schema(identifier=_S, label=_S, locationIdentifier=_S, parameter=_S, unit=_S)),
 ])
 CATALOGUE_JSON = T.StructType([
     T.StructField("features", T.ArrayType(T.StructType([

@@ -81,8 +81,10 @@ def read_catalogue(spark: SparkSession, path: str, label: str) -> DataFrame:
     )
 
 
-def wanted_datasets(*catalogues: DataFrame) -> DataFrame:
-    return stack(*catalogues)
+def wanted_datasets(points: DataFrame, *catalogues: DataFrame) -> DataFrame:
+    """Points of the data sets that one of the catalogues names."""
+    names = stack(*catalogues).select(F.col("dataSetIdentifier").alias("identifier"))
+    return points.join(names, "identifier", "left_semi")
 
 
 def name_daily_values(df: DataFrame, parameter: str) -> DataFrame:

@@ -124,10 +124,10 @@ def test_catalogue(spark, tmp_path):
         return {"geometry": {"type": "Point"}, "properties": {"dataSetLabel": label, "dataSetIdentifier": name}}
 
     path = put(tmp_path, "c.json", json.dumps({"features": [feature("7DADM", "T@1"), feature("Primary", "T@2")]}))
-    chosen = services.wanted_datasets(
-        services.read_catalogue(spark, path, "7DADM"), services.read_catalogue(spark, path, "Primary")
-    )
-    assert [r.dataSetIdentifier for r in chosen.collect()] == ["T@1", "T@2"]
+    points = spark.createDataFrame([("T@1", 1), ("T@2", 2), ("T@2", 3), ("T@3", 4), (None, 5)], "identifier string, value int")
+    names = [services.read_catalogue(spark, path, label) for label in ("7DADM", "Primary")]
+    assert sorted(r.value for r in services.wanted_datasets(points, *names).collect()) == [1, 2, 3]
+    assert [r.value for r in services.wanted_datasets(points, names[0]).collect()] == [1]
 
 
 def test_daily_values(spark, tmp_path):

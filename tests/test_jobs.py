@@ -83,10 +83,15 @@ def test_portal_files(spark, tmp_path):
 
 def test_portal_json_files(spark, tmp_path):
     points = [{"timestamp": "2024-01-01T00:00:00-08:00", "value": 7.5, "gradeCode": 100, "approvalLevel": 900}]
-    data_set = {"locationIdentifier": "FC-8", "parameter": "pH", "unit": "pH"}
+    data_set = {"locationIdentifier": "FC-8", "parameter": "pH", "unit": "pH", "label": "Primary", "identifier": "pH@1"}
+    raw = {"locationIdentifier": "FC-8", "parameter": "Temperature", "unit": "degC", "label": "Primary", "identifier": "T@1"}
+    put(tmp_path, "in/b.json", json.dumps({"numPoints": [1], "points": points, "dataset": raw}))
+    put(tmp_path, "in/c.json", json.dumps({"numPoints": [1], "points": points, "dataset": {**data_set, "locationIdentifier": "X", "identifier": "pH@2"}}))
+    listed = {"properties": {"dataSetLabel": "Primary", "dataSetIdentifier": "pH@1"}}
+    catalogue = put(tmp_path, "catalogue.json", json.dumps({"features": [listed]}))
     put(tmp_path, "in/a.json", json.dumps({"numPoints": [1], "points": points, "dataset": data_set}))
-    jobs.portal_json_files(spark, str(tmp_path / "in"), "2024-01-01", "2024-02-01", str(tmp_path / "out"))
-    assert read(spark, tmp_path / "out" / "pH_raw").first().Monitoring_Location_ID == "PDX_BES-FC8"
+    jobs.portal_json_files(spark, str(tmp_path / "in"), "2024-01-01", "2024-02-01", str(tmp_path / "out"), catalogue)
+    assert [r.Monitoring_Location_ID for r in read(spark, tmp_path / "out" / "pH_raw").collect()] == ["PDX_BES-FC8"]
     assert sorted(os.listdir(tmp_path / "out")) == ["pH_deployments", "pH_raw"]
 
 
@@ -118,5 +123,12 @@ def test_without_stored(spark, tmp_path):
         [("O", "A", "x", dt.date(2020, 7, 1), "T", 1.0, "C", "Mean")],
         "OrganizationID string, MLocID string, act_id string, SampleStartDate date, Char_Name string,"
         " Result_Numeric double, Result_Unit string, Statistical_Base string")
-    jobs.without_stored(spark, new, existing, "O", str(tmp_path / "out"))
+    jobs.without_stored(spark, new, existing, "O", "2020-01-01", "2024-12-31", str(tmp_path / "out"))
     assert [r.ActivityID for r in read(spark, tmp_path / "out").collect()] == ["y"]
+
+
+def test_new_deployment_files(spark, tmp_path):
+    deployed = spark.createDataFrame([("A", "E1"), ("B", "E2")], "Monitoring_Location_ID string, Equipment_ID string")
+    known = spark.createDataFrame([("O", "A"), ("P", "B")], "OrganizationID string, MLocID string")
+    jobs.new_deployment_files(spark, deployed, known, str(tmp_path / "out"), "O")
+    assert [(r.Monitoring_Location_ID, r.Equipment_ID) for r in read(spark, tmp_path / "out").collect()] == [("B", "B")]

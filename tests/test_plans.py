@@ -249,18 +249,21 @@ def test_portal_without_usable_readings(spark):
 
 
 def test_json_portal(spark):
-    def points(station, parameter, times, grade=100, level=900):
-        return [(station, parameter, "u", t.strftime("%Y-%m-%dT%H:%M:%S-07:00"), 9.0, grade, level, "c") for t in times]
+    def points(station, parameter, times, grade=100, level=900, label=None):
+        label = label or ("7DADM" if parameter == "Temperature" else "Primary")
+        return [(station, parameter, label, "u", t.strftime("%Y-%m-%dT%H:%M:%S-07:00"), 9.0, grade, level, "c") for t in times]
 
     rows = [
         *points("FC-8", "Dissolved oxygen", hours(8)),
         *points("JC1", "Temperature", [START, START - dt.timedelta(days=30), START - dt.timedelta(days=31)]),
+        *points("JC1", "Temperature", hours(1), label="Primary"),
+        *points("FC-8", "Dissolved oxygen", hours(20), label="Daily mean"),
         *points("TC-4", "pH", hours(1, range(2)), level=1200),
         *points("TC-4", "pH", hours(1, range(3, 5)), level=950),
         *points("TC-4", "pH", hours(1, range(3, 5)), grade=50),
     ]
     df = spark.createDataFrame(
-        rows, "locationIdentifier string, parameter string, unit string, timestamp string, value double, gradeCode int,"
+        rows, "locationIdentifier string, parameter string, label string, unit string, timestamp string, value double, gradeCode int,"
         " approvalLevel int, comment string")
     tables = plans.portal_json_stats(df, "2020-07-01", "2020-07-31")
     stats = tables["sum_stats"]

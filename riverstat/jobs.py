@@ -114,6 +114,11 @@ def hydrology_files(
     return stats
 
 
+def air_files(spark: SparkSession, paths: Sequence[str], out: str, data_types: tuple[str, ...] = ("TMAX",)) -> None:
+    """Landed daily climate records of many stations as one table."""
+    sinks.write_csv(plans.air_temperature(spark, *paths, data_types=data_types), out, sort=("STATION", "DATE"))
+
+
 def without_stored(
     spark: SparkSession, new: DataFrame, existing: DataFrame, organization: str, startdate: str, enddate: str, out: str
 ) -> None:
@@ -135,6 +140,7 @@ def name_instruments_after_locations(spark: SparkSession, path: str, out: str, g
 
 
 __all__ = [
+    "air_files",
     "daily_value_files", "hydrology_files", "logger_files", "multi_part_files", "name_instruments_after_locations",
     "new_deployment_files",
     "portal_files", "portal_json_files", "submission_files", "without_stored",

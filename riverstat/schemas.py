@@ -65,6 +65,12 @@ EXISTING_RESULTS = _schema(
 EXISTING_EQUIPMENT = _schema(OrganizationID=_S, MLocID=_S, Equipment_ID=_S)
 
 
+def air_schema(data_types: tuple[str, ...]) -> T.StructType:
+    """A station's place and day, then each data type with its attributes; the service sends all of them as text."""
+    values = {name: _S for t in data_types for name in (t, f"{t}_ATTRIBUTES")}
+    return _schema(STATION=_S, NAME=_S, LATITUDE=_S, LONGITUDE=_S, ELEVATION=_S, DATE=_S, **values)
+
+
 def daily_value_schema(columns: tuple[str, ...]) -> T.StructType:
     """`agency_cd, site_no, Date`, then each statistic with its qualifier column."""
     fields = {"agency_cd": _S, "site_no": _S, "Date": _DATE}

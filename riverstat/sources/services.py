@@ -53,9 +53,12 @@ def read_hydrology(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     )
 
 
-def read_air(spark: SparkSession, path: str) -> DataFrame:
-    """Daily climate records: each landed file is one JSON array."""
-    return spark.read.json(path, multiLine=True)
+def read_air(spark: SparkSession, *paths: str, data_types: tuple[str, ...] = ("TMAX",)) -> DataFrame:
+    """Daily climate records of all paths in one read: each landed file is one JSON array, the answer to one request.
+
+    A data type that a station does not report is NULL.
+    """
+    return spark.read.schema(schemas.air_schema(data_types)).json(list(paths), multiLine=True)
 
 
 def explode_datasets(envelopes: DataFrame) -> DataFrame:

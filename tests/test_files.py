@@ -105,8 +105,9 @@ def test_hydrology_exports(spark, tmp_path):
 def test_air_records(spark, tmp_path):
     a = put(tmp_path, "a.json", json.dumps([{"STATION": "S1", "DATE": "2020-07-01", "TMAX": "80"}]))
     b = put(tmp_path, "b.json", json.dumps([{"STATION": "S2", "DATE": "2020-07-01", "TMAX": "70", "TMIN": "50"}]))
-    df = plans.air_temperature(spark, a, b)
-    assert {(r.STATION, r.TMAX, r.TMIN) for r in df.collect()} == {("S1", "80", None), ("S2", "70", "50")}
+    df = plans.air_temperature(spark, a, b, data_types=("TMAX", "TMIN"))
+    assert {(r.STATION, r.TMAX, r.TMIN) for r in df.collect()} == {("S1", 80.0, None), ("S2", 70.0, 50.0)}
+    assert {str(r.DATE) for r in df.collect()} == {"2020-07-01"}
 
 
 def test_json_data_sets(spark, tmp_path):

@@ -132,3 +132,11 @@ def test_new_deployment_files(spark, tmp_path):
     known = spark.createDataFrame([("O", "A"), ("P", "B")], "OrganizationID string, MLocID string")
     jobs.new_deployment_files(spark, deployed, known, str(tmp_path / "out"), "O")
     assert [(r.Monitoring_Location_ID, r.Equipment_ID) for r in read(spark, tmp_path / "out").collect()] == [("B", "B")]
+
+
+def test_air_files(spark, tmp_path):
+    paths = [put(tmp_path, f"{s}.json", json.dumps([{"STATION": s, "DATE": "2020-07-01", "TMAX": t}])) for s, t in (("A", "80"), ("B", ""))]
+    jobs.air_files(spark, paths, str(tmp_path / "out"))
+    assert sorted((r.STATION, r.DATE, r.TMAX) for r in read(spark, tmp_path / "out").collect()) == [
+        ("A", "2020-07-01", "80.0"), ("B", "2020-07-01", None)
+    ]

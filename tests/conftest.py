@@ -13,7 +13,7 @@ def spark():
 
     session = get_session(
         "riverstat-tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.sql.codegen.fallback": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -16,11 +16,15 @@ def _fitting(made: Column, given: Column) -> Column:
     return F.when(given & made.isNull(), too_large).otherwise(made)
 
 
-def mean_parts(value: Column) -> tuple[Column, Column]:
-    """The aggregates a mean is made of; over a window, each of them is evaluated once."""
+def exact_decimal(value: Column) -> Column:
+    """The value as a mean adds it. Windows take it from a column, so that it is made once a row and not once a frame."""
     number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-    exact = _fitting(number.try_cast(_EXACT), number.isNotNull())
-    return F.count(number), F.try_sum(exact)
+    return _fitting(number.try_cast(_EXACT), number.isNotNull())
+
+
+def mean_parts(exact: Column) -> tuple[Column, Column]:
+    """The aggregates a mean of exact decimals is made of; over a window, each of them is evaluated once."""
+    return F.count(exact), F.try_sum(exact)
 
 
 def mean_from(n: Column, total: Column) -> Column:
@@ -33,7 +37,7 @@ def mean_of(value: Column) -> Column:
 
     One rule for all magnitudes: values count to 18 decimals, and a value or sum of 1e20 or more is an error.
     """
-    return mean_from(*mean_parts(value))
+    return mean_from(*mean_parts(exact_decimal(value)))
 
 
 def round_nearest(value: Column, digits: int) -> Column:

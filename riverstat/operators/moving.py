@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import mean_from, mean_of, mean_parts
+from ..functions import exact_decimal, mean_from, mean_of, mean_parts
 
 
 @dataclass(frozen=True)
@@ -53,14 +53,15 @@ def moving(
         enough = (F.col(f"_rows{days}") >= days - 1) & (F.col("row") >= days)
         for stat in (s for s in stats if s.days == days):
             names = [f"_{stat.out}_n", f"_{stat.out}_sum"]
-            parts.update(zip(names, (p.over(frame) for p in mean_parts(F.col(stat.value))), strict=True))
+            parts.update(zip(names, (p.over(frame) for p in mean_parts(F.col(f"_{stat.value}_exact"))), strict=True))
             usable = enough & (F.col(names[0]) == F.col(f"_rows{days}")) if null_poison else enough
             rules[stat.out] = F.when(usable, mean_from(*map(F.col, names)))
         if bounds:
             parts[f"ana_startdate{days}"] = F.min(bounds[0]).over(frame)
             parts[f"ana_enddate{days}"] = F.max(bounds[1]).over(frame)
-    dated = df.filter(F.col(day).isNotNull())
-    helpers = [name for name in parts if name.startswith("_")]
+    exact = {f"_{s.value}_exact": exact_decimal(F.col(s.value)) for s in stats}
+    dated = df.filter(F.col(day).isNotNull()).withColumns(exact)
+    helpers = [*exact, *(name for name in parts if name.startswith("_"))]
     return dated.withColumns(parts).withColumns(rules).drop(*helpers)
 
 

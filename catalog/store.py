@@ -11,6 +11,7 @@ from riverstat.operators.reconcile import (
     new_deployments,
     prefilter_existing,
     stored_results,
+    stored_rows_matched,
 )
 from riverstat.operators.split import bounded_split
 
@@ -109,6 +110,18 @@ def dup_classify_many(t: Tables) -> DataFrame:
     )
 
 
+@query("dup_matches", f"""
+WITH n AS ({NEW_SQL}), w AS (SELECT * FROM n WHERE o_orderstatus <> 'F'), e AS ({STORE_SQL})
+SELECT uid AS o_orderkey, result FROM e WHERE EXISTS (
+    SELECT 1 FROM w WHERE w.site IS NOT DISTINCT FROM e.site AND w.char IS NOT DISTINCT FROM e.char
+      AND w.day IS NOT DISTINCT FROM e.day AND w.method = e.method AND nullif(w.depth, '') IS NOT DISTINCT FROM e.depth)""")
+def dup_matches(t: Tables) -> DataFrame:
+    """Stored rows that orders which are not finished match."""
+    wanted = new_results(t).filter(F.col("o_orderstatus") != "F")
+    matched = stored_rows_matched(wanted, stored(t))
+    return matched.select(F.col("Result_UID").alias("o_orderkey"), F.col("Result").alias("result"))
+
+
 @query("existing_prefilter", f"""
 WITH n AS ({NEW_SQL}), w AS (SELECT * FROM n WHERE o_orderstatus = 'O')
 SELECT o_orderkey FROM n WHERE o_orderstatus <> 'P'

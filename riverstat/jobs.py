@@ -70,7 +70,7 @@ def daily_value_files(
     else:
         sinks.write_csv(results, f"{out}/sumstats", sort=("SiteID", "ActStartDate"))
     sinks.write_bounded(tables["pH_continuous"], f"{out}/pH_continuous", "Monitoring_Location_ID")
-    others = ("pH_deployments", "monitoring_locations", "suspected_dups", "suspected_updates")
+    others = ("pH_deployments", "monitoring_locations", "suspected_dups", "suspected_updates", "stored_matches")
     sinks.write_tables({name: tables[name] for name in others if name in tables}, out)
     return tables
 

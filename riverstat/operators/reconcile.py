@@ -64,14 +64,8 @@ def prefilter_existing(
     )
 
 
-def classify_duplicates(new: DataFrame, existing: DataFrame, columns: Columns = Columns()) -> DataFrame:
-    """Class of each new row: no stored match, a match with the same result, a match with another result.
-
-    A row whose matches include both appears once in each class. The store is reduced to one row per key and to one per
-    key and result first, so both joins add at most one row to each new row, however often a key is stored or sent;
-    `stored_matches` counts the stored rows, `stored_result` and `stored_uid` show one of them.
-    """
-    keyed = new.withColumns({
+def _new_keys(columns: Columns) -> dict[str, Column]:
+    return {
         "k_site": F.col(columns.site),
         "k_char": F.col(columns.characteristic),
         "k_date": F.col(columns.date).cast("date"),
@@ -79,16 +73,42 @@ def classify_duplicates(new: DataFrame, existing: DataFrame, columns: Columns =
         "k_method": F.col(columns.method),
         "k_depth": blank_to_null(F.col(columns.depth)),
         "k_stat": to_store_statistic(F.col(columns.statistic)),
-        "k_result": F.col(columns.result).cast("double"),
-    })
+    }
+
+
+def _stored_keys() -> dict[str, Column]:
+    return {
+        "k_site": F.col("MLocID"),
+        "k_char": F.col("Char_Name"),
+        "k_date": F.col("SampleStartDate").cast("date"),
+        "k_time": clock_hhmm(F.col("SampleStartTime")),
+        "k_method": F.col("Method_Code"),
+        "k_depth": blank_to_null(F.col("act_depth_height")),
+        "k_stat": F.col("Statistical_Base"),
+    }
+
+
+def stored_rows_matched(new: DataFrame, existing: DataFrame, columns: Columns = Columns()) -> DataFrame:
+    """Every stored row that shares its key with a new row, once, with the match keys.
+
+    Together with the keys of the new rows this lists all pairs without making them: one row per stored row, however
+    often its key was sent.
+    """
+    sent = new.select(*(key.alias(name) for name, key in _new_keys(columns).items())).distinct()
+    return null_safe_join(existing.withColumns(_stored_keys()), sent, MATCH_KEYS, "left_semi")
+
+
+def classify_duplicates(new: DataFrame, existing: DataFrame, columns: Columns = Columns()) -> DataFrame:
+    """Class of each new row: no stored match, a match with the same result, a match with another result.
+
+    A row whose matches include both appears once in each class. The store is reduced to one row per key and to one per
+    key and result first, so both joins add at most one row to each new row, however often a key is stored or sent;
+    `stored_matches` counts the stored rows, `stored_result` and `stored_uid` show one of them; `stored_rows_matched`
+    has all of them.
+    """
+    keyed = new.withColumns({**_new_keys(columns), "k_result": F.col(columns.result).cast("double")})
     stored = existing.select(
-        F.col("MLocID").alias("k_site"),
-        F.col("Char_Name").alias("k_char"),
-        F.col("SampleStartDate").cast("date").alias("k_date"),
-        clock_hhmm(F.col("SampleStartTime")).alias("k_time"),
-        F.col("Method_Code").alias("k_method"),
-        blank_to_null(F.col("act_depth_height")).alias("k_depth"),
-        F.col("Statistical_Base").alias("k_stat"),
+        *(key.alias(name) for name, key in _stored_keys().items()),
         F.col("Result").cast("double").alias("k_result"),
         F.col("Result_UID").alias("uid"),
     )
@@ -133,8 +153,10 @@ def duplicate_views(classified: DataFrame, columns: Sequence[str]) -> dict[str,
 
 
 def check_duplicates(new: DataFrame, existing: DataFrame, columns: Columns = Columns()) -> dict[str, DataFrame]:
+    """The three tables, and `stored_matches`: all stored rows that the duplicates and updates match."""
     candidates = prefilter_existing(existing, new, columns)
-    return duplicate_views(classify_duplicates(new, candidates, columns), new.columns)
+    views = duplicate_views(classify_duplicates(new, candidates, columns), new.columns)
+    return {**views, "stored_matches": stored_rows_matched(new, candidates, columns)}
 
 
 # Column of the store -> column of the import file

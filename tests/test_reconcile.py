@@ -77,6 +77,14 @@ def test_row_with_equal_and_different_matches_is_in_both_classes(spark):
     assert rows["suspected update"].stored_matches == 2 and rows["suspected update"].stored_result in (3.0, 4.0)
 
 
+def test_all_stored_matches_are_listed_once(spark):
+    stored = store(spark, *(kept(result=float(i), uid=f"u{i}") for i in range(1, 5)), kept(site="B", uid="other"),
+                   kept(method=None, uid="n"))
+    incoming = new(spark, row(), row(), row(method=None))
+    matches = check_duplicates(incoming, stored)["stored_matches"]
+    assert sorted(r.Result_UID for r in matches.collect()) == ["n", "u1", "u2", "u3", "u4"]
+
+
 def test_column_names_are_parameters(spark):
     other = new(spark, row()).withColumnsRenamed({"SiteID": "place", "Result": "value"})
     got = classify_duplicates(other, store(spark, kept()), Columns(site="place", result="value")).first()

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverstat import constants as K
 from riverstat.functions import lookup, series_key
 from riverstat.operators.deploy import (
     IMPORT_NAMES,
@@ -153,7 +152,8 @@ _ASKED = ("Temperature.Primary", "Dissolved oxygen.Primary", "Dissolved oxygen s
 
 
 @query("manifest", f"""
-WITH c(char, unit) AS (VALUES {", ".join(f"('{c}', '{K.PORTAL_UNITS[c]}')" for c in _ASKED)}),
+WITH c(char, unit) AS (VALUES ('Temperature.Primary', 'degC'), ('Dissolved oxygen.Primary', 'mg/l'),
+                              ('Dissolved oxygen saturation.Primary', '%'), ('pH.Field Visits', 'pH')),
 h(char, suffix) AS (VALUES ('MDF', '&format=tab'), ('WTEMP_MAX', '&format=tab&units=C')),
 s AS (SELECT CAST(s_suppkey AS VARCHAR) AS station FROM supplier)
 SELECT '{_PORTAL_URL}DataSet=' || replace(char, ' ', '%20') || '%40' || station

@@ -92,7 +92,8 @@ lg AS ({long_sql('mv', keys + ", date, dDTmin, dDTmax, hrNday, ana_startdate7, a
                  " ana_enddate30", STATISTICS)}),
 bs AS (SELECT *, {BASIS_SQL} AS RsltTimeBasis FROM lg)
 SELECT char AS "charID", r_units AS "Result_Unit",
-       {case_sql('char', K.METHOD_BY_CHARACTERISTIC)} AS "Result_Analytical_Method_ID",
+       CASE char WHEN 'Conductivity' THEN '120.1' WHEN 'Dissolved oxygen (DO)' THEN 'NFM 6.2.1-LUM' WHEN 'pH' THEN '150.1'
+                 WHEN 'Temperature, water' THEN '170.1' END AS "Result_Analytical_Method_ID",
        {STATUS_SQL} AS "ResultStatusID", {COMMENT_SQL} AS cmnt, loc AS "Monitoring_Location_ID", char AS "Equipment",
        'Call' AS "Project", 'Alt' AS alt_project, 'PST' AS "ActStartTimeZone", 'PST' AS "ActEndTimeZone",
        'PST' AS "AnaStartTimeZone", 'PST' AS "AnaEndTimeZone", {TEMPLATE_SQL}

@@ -17,6 +17,7 @@ from riverstat.operators.deploy import (
 from riverstat.operators.joins import attach_scalar
 from riverstat.operators.summary import presence_flags, site_extent
 from riverstat.plans.daily_values import site_records
+from riverstat.plans.portal import located
 from riverstat.sources.requests import (
     air_requests,
     hydrology_requests,
@@ -102,8 +103,9 @@ LEFT JOIN (SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r
 def crosswalk(t: Tables) -> DataFrame:
     known = t.nation.join(
         t.region.filter(F.col("r_name") != "ASIA"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("MLocID"))
-    return t.supplier.join(known, "s_nationkey", "left").select("s_suppkey", "s_name", "MLocID")
+    ).select(F.col("n_nationkey").alias("LocationIdentifier"), F.col("n_name").alias("MLocID"))
+    stations = t.supplier.withColumnRenamed("s_nationkey", "Monitoring_Location_ID")
+    return located(stations, known).select("s_suppkey", "s_name", F.col("Monitoring_Location_ID").alias("MLocID"))
 
 
 _SITE_BLANKS = (

@@ -94,6 +94,16 @@ def _computed(readings: DataFrame, project: str) -> DataFrame:
     )
 
 
+def located(rows: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """The portal's station codes replaced by locations; NULL where the crosswalk has none."""
+    ids = crosswalk.select(F.col("LocationIdentifier").alias("Monitoring_Location_ID"), "MLocID")
+    return (
+        rows.join(ids, "Monitoring_Location_ID", "left")
+        .withColumn("Monitoring_Location_ID", F.col("MLocID"))
+        .drop("MLocID")
+    )
+
+
 def portal_stats(
     readings: DataFrame, inventory: DataFrame, crosswalk: DataFrame, project: str
 ) -> dict[str, DataFrame]:
@@ -105,14 +115,6 @@ def portal_stats(
     """
     valued = readings.filter(F.col("Result_Value").isNotNull())
     good = keep_grades(valued, "Grade_Code", "Approval_Level", (K.GOOD_GRADE,), (K.APPROVED_LEVEL,))
-    ids = crosswalk.select(F.col("LocationIdentifier").alias("Monitoring_Location_ID"), "MLocID")
-
-    def located(rows: DataFrame) -> DataFrame:
-        return (
-            rows.join(ids, "Monitoring_Location_ID", "left")
-            .withColumn("Monitoring_Location_ID", F.col("MLocID"))
-            .drop("MLocID")
-        )
 
     def deployed(rows: DataFrame, keys: list[str]) -> DataFrame:
         return import_form(
@@ -127,9 +129,10 @@ def portal_stats(
         good.filter(name.isin(RAW_OXYGEN, RAW_TEMPERATURE)), to_compute, ["Monitoring_Location_ID"], "left"
     ).filter((name == RAW_OXYGEN) | (name == F.col("raw")))
     sumstats = stack(
-        _computed(located(raw), project), _ready_made(located(good.filter(name == READY_MADE)), project)
+        _computed(located(raw, crosswalk), project),
+        _ready_made(located(good.filter(name == READY_MADE), crosswalk), project),
     )
-    everywhere = located(good)
+    everywhere = located(good, crosswalk)
     extents = with_instrument_id(deployed(everywhere, ["Monitoring_Location_ID"]))
     ph = attach_instrument(everywhere.filter(name == RAW_PH), extents, "Monitoring_Location_ID")
     return {

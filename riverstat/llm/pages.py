@@ -2,9 +2,10 @@
 
 Text nodes are grouped by the path of tags from the root to them. For each path the text length and the punctuation are
 summed and divided by its number of nodes; both ratios are smoothed over the sequence of the nodes in the page, fused by
-multiplication, and nodes above a share of the mean are content. The element whose nodes carry most of the fused weight is
-the article: an `article` or `main` element where the page has one with content, else the innermost element that holds
-most of it. All blocks inside that element are returned, in page order, but for parts that are marked as something else:
+multiplication, and nodes above a share of the mean are content. Where `article` and `main` elements hold half of the
+content's characters or more, the smallest element around all of them that have content is chosen (a single one itself);
+else the smallest container around all content nodes, which is never a text block such as a paragraph, a list or a table
+itself. All blocks inside that element are returned, in page order, but for parts that are marked as something else:
 menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and comments, by their tag, role, class or id.
 
 Pages are read whole; unclosed and stray tags are tolerated as browsers do in the common cases (a paragraph ends where the
@@ -47,6 +48,10 @@ DROPPED_WORDS = frozenset(
 )
 HEADER_WORDS = frozenset("header topbar site-header".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NO_CONTAINERS = INLINE | HEADINGS | frozenset(  # text blocks and what is part of one
+    "p pre blockquote address figure figcaption ul ol li dl dt dd table caption colgroup thead tbody tfoot tr td th details"
+    " summary fieldset legend label hgroup".split()
+)
 CLOSED_BY = {  # an open element of the first kind ends where one of the second begins
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
     "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]),
@@ -105,7 +110,8 @@ class _Reader:
 
     def __init__(self) -> None:
         self.blocks: list[_Block] = []
-        self.articles: list[int] = []
+        self.articles: list[tuple[int, ...]] = []  # each with the elements around it, as in _Element.above
+        self.containers = {0}
         self._open = [_Element("", 0, "", False, (0,))]
         self._made = 0
         self._block: _Block | None = None
@@ -136,11 +142,14 @@ class _Reader:
         top = self._open[-1]
         self._made += 1
         dropped = top.dropped or _is_dropped(name, rest, self._article > 0)
-        self._open.append(_Element(name, self._made, f"{top.path}/{name}", dropped, (*top.above, self._made)))
+        above = (*top.above, self._made)
+        self._open.append(_Element(name, self._made, f"{top.path}/{name}", dropped, above))
+        if name not in NO_CONTAINERS:
+            self.containers.add(self._made)
         if name in ("article", "main"):
             self._article += 1
             if not dropped:
-                self.articles.append(self._made)
+                self.articles.append(above)
 
     def _end(self, name: str) -> None:
         for at in range(len(self._open) - 1, 0, -1):
@@ -193,6 +202,13 @@ def _weights(paths: list[str], texts: list[str]) -> np.ndarray:
     return smooth[0] * (smooth[1] + 0.1)
 
 
+def _around(chains: list[tuple[int, ...]]) -> tuple[int, ...]:
+    """The elements that all of the chains have in common, outermost first."""
+    least, most = min(chains), max(chains)  # those that differ first
+    same = next((at for at, (x, y) in enumerate(zip(least, most)) if x != y), min(len(least), len(most)))
+    return least[:same]
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by empty lines."""
     if not page:
@@ -207,20 +223,15 @@ def main_text(page: str | None) -> str:
     content = weight >= 0.3 * weight.mean()
     size = np.array([len(t) for _, t in found]) * content
 
-    def held(number: int) -> int:
-        return int(sum(n for (b, _), n in zip(found, size) if number in b.above))
+    def held(numbers: set[int]) -> int:
+        return int(sum(n for (b, _), n in zip(found, size) if not numbers.isdisjoint(b.above)))
 
-    articles = [(held(a), -a) for a in reader.articles]
-    if articles and max(articles)[0]:
-        chosen = -max(articles)[1]
+    articles = [a for a in reader.articles if held({a[-1]})]
+    if articles and 2 * held({a[-1] for a in articles}) >= size.sum():
+        chosen = _around(articles)[-1]
     else:
-        around: dict[int, int] = {}
-        for (b, _), n in zip(found, size):
-            for depth, number in enumerate(b.above):
-                total, _ = around.get(number, (0, 0))
-                around[number] = (total + int(n), depth)
-        enough = 0.6 * size.sum()
-        chosen = max((depth, total, -number) for number, (total, depth) in around.items() if total >= enough)[2] * -1
+        around = _around([b.above for (b, _), of in zip(found, content) if of])
+        chosen = next(number for number in reversed(around) if number in reader.containers)
     return "\n\n".join(t for b, t in found if chosen in b.above)
 
 

@@ -196,6 +196,22 @@ def test_pages(spark):
     assert [pages.main_text(x) for x in (None, "", "<p>", "<!-- x", "<b")] == ["", "", "", "", "<b"]
 
 
+def test_pages_without_one_article():
+    first, second = "One, two. " * 30, "Three, four. " * 8
+    uneven = f"<body><div id=content><h1>Head</h1><p>{first}</p><p>{second}</p></div></body>"
+    assert pages.main_text(uneven) == f"Head\n\n{first.strip()}\n\n{second.strip()}"
+    alone = f"<body><div><h1>Head</h1><ul><li>Short</li><li>{first}</li></ul><blockquote><p>{first}</p></blockquote></div></body>"
+    assert pages.main_text(alone) == f"Head\n\nShort\n\n{first.strip()}\n\n{first.strip()}"
+    sections = f"<body><div><section><p>{first}</p><p>{first}</p></section><section><p>{second}</p></section></div></body>"
+    assert pages.main_text(sections) == f"{first.strip()}\n\n{first.strip()}\n\n{second.strip()}"
+    articles = f"<body><article><p>{first}</p></article><article><p>{second}</p></article></body>"
+    assert pages.main_text(articles) == f"{first.strip()}\n\n{second.strip()}"
+    teaser = f"<body><div><p>{first}</p><p>{first}</p><p>{first}</p></div><article><p>{second}</p></article></body>"
+    assert first.strip() in pages.main_text(teaser)
+    links = "<div>" + "<div><a>Link</a></div>" * 5 + "</div>"
+    assert pages.main_text(f"<body>{links}<div><p>{first}</p><p>{second}</p></div></body>") == f"{first.strip()}\n\n{second.strip()}"
+
+
 def test_language_and_toxicity(spark, odd):
     rng = random.Random(7)
     words = {"aa": ["lona", "mira", "tola"], "bb": ["krix", "vrex", "strug"]}

@@ -8,6 +8,13 @@ else the smallest container around all content nodes, which is never a text bloc
 itself. All blocks inside that element are returned, in page order, but for parts that are marked as something else:
 menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and comments, by their tag, role, class or id.
 
+A form and a word in a class or id may also belong to a wrapper (`no-sidebar`, a form around the page). So their text is read
+too, and such a mark is lifted where the element holds most of the content: more than half of the characters of content
+nodes that it and all unmarked parts hold. Where the class or id is the word alone (`comments`), no unmarked part may hold a
+content node. Where an unmarked article has text, only wrappers of other articles come into question, from nine tenths on.
+A `main` element with content lifts the marks around it. The marks inside a lifted element are judged in their turn. So a page
+that has nothing but, say, a cookie notice gives that notice.
+
 Pages are read whole; unclosed and stray tags are tolerated as browsers do in the common cases (a paragraph ends where the
 next block begins, a list item at the next one, an end tag closes what is open inside it).
 
@@ -36,10 +43,10 @@ INLINE = frozenset(
     " strike strong sub sup time tt u var wbr br img".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template nav footer aside form button select option textarea iframe svg canvas object"
+    "head script style noscript template nav footer aside button select option textarea iframe svg canvas object"
     " dialog menu audio video map title noembed noframes".split()
 )
-DROPPED_ROLES = frozenset("navigation banner complementary contentinfo search form menu menubar alert dialog".split())
+DROPPED_ROLES = frozenset("navigation banner complementary contentinfo search menu menubar alert dialog".split())
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent"
     " gdpr notice notification alert sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments"
@@ -76,6 +83,7 @@ class _Element:
     path: str
     dropped: bool
     above: tuple[int, ...]  # numbers of the elements around it and its own
+    marks: tuple[int, ...]  # those of them that are marked
 
 
 @dataclass
@@ -83,36 +91,43 @@ class _Block:
     """Text that is set as one: its parts, the elements around it, its path."""
 
     above: tuple[int, ...]
+    marks: tuple[int, ...]
     path: str
     parts: list[str] = field(default_factory=list)
 
 
-def _is_dropped(name: str, rest: str, inside_article: bool) -> bool:
-    if name in DROPPED:
-        return True
-    if name == "header" and not inside_article:
-        return True
+KEPT, MARKED, NAMED, GONE = range(4)  # a mark among others, a mark that names the element, a mark that always holds
+
+
+def _mark(name: str, rest: str, inside_article: bool) -> int:
+    if name in DROPPED or (name == "header" and not inside_article):
+        return GONE
+    mark = MARKED if name == "form" else KEPT
     if "=" not in rest:
-        return False
+        return mark
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values)
         if key == "role" and value.lower() in DROPPED_ROLES:
-            return True
+            return GONE
+        if key == "role" and value.lower() == "form":
+            mark = max(mark, MARKED)
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
-            words = {w.lower() for w in _WORD.findall(value)}
-            if words & DROPPED_WORDS or (words & HEADER_WORDS and not inside_article):
-                return True
-    return False
+            marks = DROPPED_WORDS if inside_article else DROPPED_WORDS | HEADER_WORDS
+            if marks.intersection(w.lower() for w in _WORD.findall(value)):
+                mark = max(mark, MARKED if marks.isdisjoint(value.lower().split()) else NAMED)
+    return mark
 
 
 class _Reader:
-    """Reads a page into blocks of text outside of dropped parts."""
+    """Reads a page into blocks of text outside of parts that are gone; what may be dropped has marks."""
 
     def __init__(self) -> None:
         self.blocks: list[_Block] = []
-        self.articles: list[tuple[int, ...]] = []  # each with the elements around it, as in _Element.above
+        self.articles: list[_Element] = []
+        self.marked: dict[int, _Element] = {}
+        self.named: set[int] = set()
         self.containers = {0}
-        self._open = [_Element("", 0, "", False, (0,))]
+        self._open = [_Element("", 0, "", False, (0,), ())]
         self._made = 0
         self._block: _Block | None = None
         self._article = 0  # open article or main elements
@@ -141,15 +156,22 @@ class _Reader:
             return
         top = self._open[-1]
         self._made += 1
-        dropped = top.dropped or _is_dropped(name, rest, self._article > 0)
-        above = (*top.above, self._made)
-        self._open.append(_Element(name, self._made, f"{top.path}/{name}", dropped, above))
+        mark = _mark(name, rest, self._article > 0)
+        dropped, above, marks = top.dropped or mark == GONE, (*top.above, self._made), top.marks
+        if mark in (MARKED, NAMED):
+            marks = (*marks, self._made)
+        element = _Element(name, self._made, f"{top.path}/{name}", dropped, above, marks)
+        self._open.append(element)
+        if mark in (MARKED, NAMED) and not dropped:
+            self.marked[self._made] = element
+            if mark == NAMED:
+                self.named.add(self._made)
         if name not in NO_CONTAINERS:
             self.containers.add(self._made)
         if name in ("article", "main"):
             self._article += 1
             if not dropped:
-                self.articles.append(above)
+                self.articles.append(element)
 
     def _end(self, name: str) -> None:
         for at in range(len(self._open) - 1, 0, -1):
@@ -167,7 +189,7 @@ class _Reader:
             if raw.isspace():
                 return
             around = next(x for x in reversed(self._open) if x.name not in INLINE)
-            self._block = _Block(around.above, top.path)
+            self._block = _Block(around.above, top.marks, top.path)
             self.blocks.append(self._block)
         self._block.parts.append(raw)
 
@@ -202,6 +224,45 @@ def _weights(paths: list[str], texts: list[str]) -> np.ndarray:
     return smooth[0] * (smooth[1] + 0.1)
 
 
+def _content(found: list[tuple[_Block, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each block is a content node, and its characters if it is."""
+    weight = _weights([b.path for b, _ in found], [t for _, t in found])
+    content = weight >= 0.3 * weight.mean()
+    return content, np.array([len(t) for _, t in found]) * content
+
+
+def _held(found: list[tuple[_Block, str]], size: np.ndarray, numbers: set[int]) -> int:
+    """Characters of content nodes inside any of the elements."""
+    return int(sum(n for (b, _), n in zip(found, size) if not numbers.isdisjoint(b.above)))
+
+
+def _lifted(reader: _Reader, found: list[tuple[_Block, str]]) -> set[int]:
+    """Marked elements that hold the content, so their marks do not drop them."""
+    _, size = _content(found)
+    lifted: set[int] = set()
+    for article in reader.articles:
+        if article.name == "main" and _held(found, size, {article.number}):
+            lifted.update(article.marks)
+    holding = {n: s for n in reader.marked if (s := _held(found, size, {n}))}
+    while True:
+        free = [(b, n) for (b, _), n in zip(found, size) if lifted.issuperset(b.marks)]
+        articles = {a.number for a in reader.articles if lifted.issuperset(a.marks)}
+        article = any(not articles.isdisjoint(b.above) for b, _ in free)
+        best = (0.0, 0)
+        for number, held in holding.items():
+            if number in lifted or not lifted.issuperset(reader.marked[number].marks[:-1]):
+                continue
+            around, named = any(number in a.above for a in reader.articles), number in reader.named
+            share = held / (held + sum(int(n) for b, n in free if number not in b.above))
+            if article and (named or not around) or named and share < 1:
+                continue
+            if share > (0.9 if article else 0.5):
+                best = max(best, (share + around, -number))  # one around an article first
+        if not best[0]:
+            return lifted
+        lifted.add(-best[1])
+
+
 def _around(chains: list[tuple[int, ...]]) -> tuple[int, ...]:
     """The elements that all of the chains have in common, outermost first."""
     least, most = min(chains), max(chains)  # those that differ first
@@ -219,16 +280,15 @@ def main_text(page: str | None) -> str:
     found = [(b, t) for b, t in found if t]
     if not found:
         return ""
-    weight = _weights([b.path for b, _ in found], [t for _, t in found])
-    content = weight >= 0.3 * weight.mean()
-    size = np.array([len(t) for _, t in found]) * content
-
-    def held(numbers: set[int]) -> int:
-        return int(sum(n for (b, _), n in zip(found, size) if not numbers.isdisjoint(b.above)))
-
-    articles = [a for a in reader.articles if held({a[-1]})]
-    if articles and 2 * held({a[-1] for a in articles}) >= size.sum():
-        chosen = _around(articles)[-1]
+    if any(b.marks for b, _ in found):
+        lifted = _lifted(reader, found)
+        found = [(b, t) for b, t in found if lifted.issuperset(b.marks)]
+        if not found:
+            return ""
+    content, size = _content(found)
+    articles = [a for a in reader.articles if _held(found, size, {a.number})]
+    if articles and 2 * _held(found, size, {a.number for a in articles}) >= size.sum():
+        chosen = _around([a.above for a in articles])[-1]
     else:
         around = _around([b.above for (b, _), of in zip(found, content) if of])
         chosen = next(number for number in reversed(around) if number in reader.containers)

@@ -212,6 +212,27 @@ def test_pages_without_one_article():
     assert pages.main_text(f"<body>{links}<div><p>{first}</p><p>{second}</p></div></body>") == f"{first.strip()}\n\n{second.strip()}"
 
 
+@pytest.mark.parametrize("mark", ["class='site-content no-sidebar'", "class=has-sidebar", "id=with-comments", "class='layout-menu-left'"])
+def test_pages_in_a_marked_wrapper(mark):
+    text, other = "One, two. " * 30, "Three, four. " * 40
+    parts = f"<div class=sidebar><p>{text}</p></div><div id=comments><p>{other}</p></div><form>Ask, me.</form>"
+    article = f"<article><h1>Head</h1><p>{text}</p></article>"
+    for inside in (article, article.replace("article", "main"), article.replace("article", "section")):
+        assert pages.main_text(f"<body><div {mark}>{inside}{parts}</div></body>") == f"Head\n\n{text.strip()}"
+        assert pages.main_text(f"<body><div {mark}>{inside}</div>{parts}</body>") == f"Head\n\n{text.strip()}"
+        assert pages.main_text(f"<body><form><div {mark}>{inside}{parts}</div></form></body>") == f"Head\n\n{text.strip()}"
+        assert pages.main_text(f"<body>{inside}<div {mark}>No, no.</div>{parts}</body>") == f"Head\n\n{text.strip()}"
+
+
+def test_pages_with_many_comments():
+    text, other = "One, two. " * 30, "Three, four. " * 40
+    comments = "<div id=comments>" + f"<article><p>{other}</p></article>" * 30 + "</div>"
+    for inside in ("<article><p>Short.</p></article>", f"<div><p>{text}</p><p>{text}</p></div>"):
+        alone = pages.main_text(f"<body>{inside}</body>")
+        assert alone and pages.main_text(f"<body>{inside}{comments}</body>") == alone
+        assert pages.main_text(f"<body><div class=has-sidebar>{inside}{comments}</div></body>") == alone
+
+
 def test_language_and_toxicity(spark, odd):
     rng = random.Random(7)
     words = {"aa": ["lona", "mira", "tola"], "bb": ["krix", "vrex", "strug"]}

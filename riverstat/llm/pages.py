@@ -5,8 +5,9 @@ summed and divided by its number of nodes; both ratios are smoothed over the seq
 multiplication, and nodes above a share of the mean are content. Where `article` and `main` elements hold half of the
 content's characters or more, the smallest element around all of them that have content is chosen (a single one itself);
 else the smallest container around all content nodes, which is never a text block such as a paragraph, a list or a table
-itself. All blocks inside that element are returned, in page order, but for parts that are marked as something else:
-menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and comments, by their tag, role, class or id.
+itself. Ratios select no single blocks, which would lose headings and short paragraphs: all blocks inside that element are
+returned, in page order, but for parts that are marked as something else: menus, headers, footers, side bars, notices,
+adverts, forms, scripts, styles and comments, by their tag, role, class or id.
 
 A form and a word in a class or id may also belong to a wrapper (`no-sidebar`, a form around the page). So their text is read
 too, and such a mark is lifted where the element holds most of the content: more than half of the characters of content

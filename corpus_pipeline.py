@@ -17,7 +17,7 @@ from riverstat.llm.common import shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without letters."""
+    """Documents without a language go: null texts, texts without letters, and longer ones far from all learned languages."""
     return language.known_language(docs)
 
 

@@ -33,6 +33,8 @@ DIMENSIONS = 1024
 SAMPLE = 8000  # labelled rows that prototypes are learned from
 N = 3
 SEED = 7
+FOREIGN = 0.12  # texts of LETTERS or more below this cosine with all whole prototypes are in no learned language
+LETTERS = 200
 
 _BLANK = 32
 _ROWS = 192  # texts whose counts are multiplied together
@@ -136,7 +138,8 @@ class Space:
 @dataclass(frozen=True)
 class Profiles:
     languages: list[str]
-    prototypes: np.ndarray  # (languages, dimensions), of length one
+    prototypes: np.ndarray  # (languages, dimensions), of length one, without what the languages share
+    whole: np.ndarray  # the same with it
     dimensions: int
     n: int
     seed: int
@@ -175,18 +178,25 @@ def learn(
     bundles = {r["lang"]: np.array([p["x"] for p in r["v"]]) for r in found.collect()}
     languages = sorted(k for k, v in bundles.items() if v.any())
     prototypes = _unit(np.array([bundles[k] for k in languages]).reshape(len(languages), dimensions))
+    whole = prototypes
     if len(languages) > 1:
         prototypes = _unit(prototypes - prototypes.mean(0))
-    return Profiles(languages, prototypes, dimensions, n, seed)
+    return Profiles(languages, prototypes, whole, dimensions, n, seed)
 
 
 _FIELDS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+_NEAR = T.StructType([*_FIELDS.fields, T.StructField("near", T.DoubleType())])
 
 
-def predict(docs: DataFrame, profiles: Profiles, column: str = "text", into: str = "language") -> DataFrame:
-    """Add a struct of `lang_pred` and `score`, the cosine with that language's prototype (0 where it is negative)."""
+def predict(
+    docs: DataFrame, profiles: Profiles, column: str = "text", into: str = "language", near: bool = False
+) -> DataFrame:
+    """Add a struct of `lang_pred` and `score`, the cosine with that language's prototype (0 where it is negative).
+
+    With `near` it also has the largest cosine with the whole prototypes, which texts of mixed languages keep.
+    """
     names = [*profiles.languages, UNKNOWN]
-    prototypes = profiles.prototypes.T.astype(np.float64)
+    prototypes, whole = profiles.prototypes.T.astype(np.float64), profiles.whole.T.astype(np.float64)
 
     def start():
         space = Space(profiles.dimensions, profiles.n, profiles.seed)
@@ -195,14 +205,19 @@ def predict(docs: DataFrame, profiles: Profiles, column: str = "text", into: str
             vectors = space.bundle(texts)
             some = vectors.any(1) & bool(len(names) > 1)
             best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
+            nearest = np.zeros(len(texts))
             if some.any():
-                cosine = _unit(vectors[some]) @ prototypes
+                unit = _unit(vectors[some])
+                cosine = unit @ prototypes
                 best[some], score[some] = cosine.argmax(1), np.clip(cosine.max(1), 0, 1)
-            return [pa.array([names[i] for i in best], pa.string()), pa.array(score)]
+                if near:
+                    nearest[some] = (unit @ whole).max(1)
+            made = [pa.array([names[i] for i in best], pa.string()), pa.array(score)]
+            return [*made, pa.array(nearest)] if near else made
 
         return compute
 
-    return with_struct(docs, column, into, _FIELDS, start)
+    return with_struct(docs, column, into, _NEAR if near else _FIELDS, start)
 
 
 def held_out() -> Column:
@@ -211,6 +226,15 @@ def held_out() -> Column:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language is known; those that are `und` go."""
+    """The documents that may be in a learned language.
+
+    Those without letters go, and those of `LETTERS` or more whose cosines with the whole prototypes are all below `FOREIGN`.
+    If no language could be learned, all documents with letters stay.
+    """
     profiles = learn(docs, ~held_out())
-    return predict(docs, profiles, into="_language").filter(F.col("_language.lang_pred") != UNKNOWN).select(docs.columns)
+    if not profiles.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
+    foreign = F.when(F.col("_language.near") < FOREIGN, letters >= LETTERS).otherwise(False)
+    found = predict(docs, profiles, into="_language", near=True)
+    return found.filter((F.col("_language.lang_pred") != UNKNOWN) & ~foreign).select(docs.columns)

@@ -256,6 +256,19 @@ def test_language_and_toxicity(spark, odd):
     assert {r["p"] for r in toxicity.score(odd, none).select(F.col("toxicity.predicted").alias("p")).collect()} == {0}
 
 
+def test_only_known_languages_stay(spark):
+    rng = random.Random(9)
+    words = {"aa": ["lona", "mira", "tola"], "bb": ["krix", "vrex", "strug"]}
+    rows = [(i, " ".join(rng.choices(words["aa" if i % 2 else "bb"], k=60)), "aa" if i % 2 else "bb") for i in range(60)]
+    foreign = " ".join("".join(rng.choices("абвгдежзиклмнопрстуфхцчшщыэюя", k=6)) for _ in range(100))
+    rows += [(100, foreign, None), (101, foreign[:40], None), (102, None, "aa"), (103, "1 2 3", "bb"), (104, "lona", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stay = {*range(60), 101, 104}
+    assert {r["doc_id"] for r in language.known_language(docs).collect()} == stay
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in language.known_language(unlabelled).collect()} == stay | {100}
+
+
 def test_factorization_learns_pairs():
     rng = np.random.default_rng(8)
     rows = [np.flatnonzero(rng.random(4) < 0.5) for _ in range(3000)]

@@ -15,12 +15,15 @@ every candidate pair is compared unless it is known to be in one component alrea
 
 Words are the runs of other characters than ASCII white space, with A-Z in lower case; fewer words than a shingle has are one
 shingle. Defined cases: documents without words (null and empty text too) link with nothing and are kept; so do rows
-without doc_id, whose component_id is null; rows that share a doc_id are one node of the links; an empty table gives no rows;
-other columns are ignored.
+without doc_id, whose component_id is null; an empty table gives no rows; other columns are ignored. `near_duplicates` takes
+doc_ids as unique, but for rows that repeat a doc_id with the same text: other texts of one doc_id may be linked through it.
+`one_of_each` needs no unique doc_ids: it numbers the rows and links and drops by that number.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,12 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, cut, pieces, ship
+from .common import Memo, cut, pieces, shared_folder, ship
 from .components import components
 
 ORDERS, ROWS = 120, 6
 SEND = 1_000_000  # ids that tasks may get
 BLOCK = 512  # members of a cluster in a block
+_ROW = "_row"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -249,7 +253,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that are near duplicates of a kept one; one of each group stays."""
-    found = near_duplicates(docs, words, percent)
-    dropped = cut(found.filter(~F.col("kept")).select("doc_id").distinct())
-    return _of_ids(docs, dropped, "left_anti").select(docs.columns)
+    """The documents without those that are near duplicates of a kept one; one row of each group stays, of its smallest doc_id.
+
+    Rows get a number in a written table, so reading them again cannot change it.
+    """
+    path = f"{shared_folder(docs.sparkSession)}/numbered-{uuid.uuid4().hex}"
+    docs.withColumn(_ROW, F.monotonically_increasing_id()).write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    known = rows.filter("doc_id IS NOT NULL").select(F.col(_ROW).alias("doc_id"), "text")
+    found = near_duplicates(known, words, percent).select(F.col("doc_id").alias(_ROW), "component_id", "kept")
+    groups = found.filter(~F.col("kept")).select("component_id").distinct()
+    members = cut(found.select(_ROW, "component_id").join(groups, "component_id", "left_semi"))
+    few = members.count() <= SEND
+    members = rows.select(_ROW, "doc_id").join(F.broadcast(members) if few else members, _ROW)
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", _ROW)).alias("first"))
+    dropped = members.join(first, "component_id").filter(F.col(_ROW) != F.col(f"first.{_ROW}")).select(_ROW)
+    dropped = cut(dropped)
+    return rows.join(F.broadcast(dropped) if few else dropped, _ROW, "left_anti").select(docs.columns)

@@ -133,6 +133,16 @@ def test_near_duplicates(spark, odd, words):
     assert minmax.near_duplicates(odd, words).filter("doc_id IS NULL").first()["kept"]
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    near_b = b + " more"
+    rows = [(9, near_b), (7, a), (7, b), (3, a), (5, "own text"), (5, "own text"), (None, a), (None, a), (6, None), (6, None)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n long")
+    kept = minmax.one_of_each(docs.repartition(3)).select("doc_id", "text").collect()
+    expected = [(3, a), (7, b), (5, "own text"), (None, a), (None, a), (6, None), (6, None)]
+    assert Counter(map(tuple, kept)) == Counter(expected)
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(40, 16))

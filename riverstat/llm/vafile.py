@@ -10,9 +10,10 @@ Queries and vectors are dealt by hashes into blocks, and every block of queries
 work that an exact search without an index over the queries has). A task returns k rows a query; the best of these are
 ranked after Spark has cut each partition to the k best of a query.
 
-Defined cases: vectors that are null or hold null or non-finite components, and rows without vec_id, take no part; a vec_id
-that repeats counts once, with its smallest embedding; a query meets only vectors of its own length; ties go to the
-smaller vec_id; an empty table gives no rows; other columns are ignored. Components beyond 2^52 / scale are not supported and
+Defined cases: vectors that are null or hold null or non-finite components, and rows without vec_id, take no part; where a
+vec_id repeats, each of its rows is a vector and a query of its own, none of which meets rows of its own vec_id, and the k best of
+all its queries' results are ranked together, as in the SQL; a query meets only vectors of its own length; ties go to the smaller
+vec_id; an empty table gives no rows; other columns are ignored. Components beyond 2^52 / scale are not supported and
 raise an error.
 """
 
@@ -95,16 +96,16 @@ def nearest(
     largest = 2.0 ** 52
     whole = F.transform(real, lambda x: F.when(F.abs(x * scale) < largest, F.floor(x * scale)).otherwise(
         F.raise_error(F.lit("component too large")).cast("long")))
+    number = F.monotonically_increasing_id().alias("row")  # rows of one vec_id are dealt apart
     rows = vectors.filter(usable).select("vec_id", is_query.alias("asks"), "embedding")
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.max("asks").alias("asks"))
-    rows = cut(rows.select("vec_id", "asks", F.size("embedding").alias("size"), whole.alias("whole")))
+    rows = cut(rows.select("vec_id", "asks", F.size("embedding").alias("size"), whole.alias("whole"), number))
     vector_blocks = max(1, -(-rows.count() // block_vectors))
     queries = rows.filter("asks")
     query_blocks = max(1, -(-queries.count() // block_queries))
 
     def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         """Each row in its block, once for every block of the other side."""
-        block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+        block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
         return df.select("vec_id", "size", "whole", block.alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     asked = dealt(queries, "qb", query_blocks, "vb", vector_blocks).groupBy("qb", "vb", "size")

@@ -177,6 +177,21 @@ def test_search_is_exact(spark):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+def test_search_counts_rows_of_repeated_ids(spark):
+    rng = np.random.default_rng(11)
+    ids = [i % 40 for i in range(120)] + [7, 7]
+    whole = rng.integers(-50, 50, (122, 4))
+    whole[121] = whole[120]
+    df = spark.createDataFrame(
+        [(i, [float(x) / 1024 for x in v]) for i, v in zip(ids, whole)], "vec_id long, embedding array<double>")
+    expected = []
+    for q in (0, 7, 14, 21, 28, 35):
+        scores = [(-int(whole[a] @ whole[b]), ids[b]) for a in range(122) for b in range(122) if ids[a] == q != ids[b]]
+        expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:10])]
+    found = vafile.nearest(df, F.col("vec_id") % 7 == 0, block_vectors=30, block_queries=5)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def test_sharding(spark, odd):
     rows = sharding.shuffle_into_shards(spark.range(1003).withColumnRenamed("id", "doc_id"), 7, bucket=20).collect()
     slots = {s: sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(7)}

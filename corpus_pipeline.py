@@ -48,7 +48,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Learned models, hashed signatures and a tokenizer are not SQL; tests hold the stages against plain Python.
+# Learned models, hashed signatures and a tokenizer are not SQL; tests hold the stages' rows against plain Python, on sf0.001,
+# toxicity on made rows with known labels.
 ORACLE_SQL = None
 
 

@@ -336,3 +336,101 @@ def test_queries_against_sql(spark, name):
     from compare import connect, differences
 
     assert differences(spark, connect(TABLES), queries.QUERIES[name], queries.ORACLES[name], TABLES) == []
+
+
+def _words(text):
+    return [x.encode().lower().decode() for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+
+
+def _one_of_each(texts, words):
+    """Component of each id, by all pairs."""
+    sets = {}
+    for i, t in texts.items():
+        w = _words(t)
+        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    near = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    return components(sets, near)
+
+
+def _pieces(texts):
+    """Pieces of each document as the tokenizer itself makes them."""
+    tokenizer, made = Tokenizer.from_file(WORDS), Counter()
+    for i, text in texts.items():
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        for piece, at in enumerate(range(0, len(ids), 4096)):
+            part = ids[at:at + 4096]
+            made[(i, piece, at, len(part), zlib.crc32(part.tobytes()))] += 1
+    return made
+
+
+def _texts(df):
+    return {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_pipeline_stages_against_plain_python(spark, tmp_path):
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    foreign = "жить ещё шумно " * 40
+    odd = {10**9: None, 10**9 + 1: "", 10**9 + 2: "1 2 3 ==", 10**9 + 3: foreign}
+    schema = "doc_id long, text string, lang string"
+    added = spark.createDataFrame([(i, t, None) for i, t in odd.items()], schema)
+    docs = docs.unionByName(added.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), allowMissingColumns=True)
+
+    def through(name):
+        stages[name](spark, docs, TABLES).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    before = _texts(docs)
+    docs = through("language_id")
+    assert _texts(docs) == {i: t for i, t in before.items() if i not in odd}
+
+    before = _texts(docs)  # too few toxic rows to learn from here: next test
+    clean = {r["doc_id"] for r in spark.read.parquet(f"{TABLES}/labels.parquet").filter("toxic = 0").collect()}
+    docs = through("toxicity")
+    after = _texts(docs)
+    assert all(before[i] == t for i, t in after.items())
+    assert not (before.keys() - after.keys()) & clean
+
+    before = _texts(docs)
+    blank = " \t\n\x0b\x0c\r"
+    key = {i: [x.strip(blank).encode().lower().decode() for x in (t or "").split("\n")] for i, t in before.items()}
+    held = Counter(k for keys in key.values() for k in set(keys))
+    docs = through("line_dedup")
+    expected = {
+        i: "\n".join(x for x, k in zip((t or "").split("\n"), key[i]) if not k or held[k] < 10) for i, t in before.items()
+    }
+    assert _texts(docs) == expected
+    assert docs.filter("n_chars <> length(text)").isEmpty()
+
+    component = _one_of_each(expected, 5)
+    docs = through("near_dedup")
+    before = {i: t for i, t in expected.items() if component[i] == i}
+    assert _texts(docs) == before
+
+    packed = stages["packing"](spark, docs, TABLES).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed) == _pieces(before)
+
+
+def test_toxicity_stage_drops_the_toxic_rows(spark, tmp_path):
+    rng = random.Random(12)
+    toxic = {i: i % 5 == 1 for i in range(400)}
+    rows = [(i, " ".join(rng.choices(["lona", "mira", "tola", "krix"], k=30)) + " blargh" * t) for i, t in toxic.items()]
+    labels = spark.createDataFrame([(i, int(t)) for i, t in toxic.items() if i < 300], "doc_id long, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = dict(corpus_pipeline.STAGES)["toxicity"](spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
+    assert sorted(map(tuple, kept.collect())) == [(i, t) for i, t in rows if not toxic[i]]
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_queries_against_plain_python(spark):
+    texts = _texts(spark.read.parquet(f"{TABLES}/documents.parquet"))
+    made = queries.QUERIES["op2_packing"](spark, TABLES).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in made) == _pieces(texts)
+    found = queries.QUERIES["op5_minmax"](spark, TABLES).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == _one_of_each(texts, 2)
+    made = queries.QUERIES["op1_bpe"](spark, TABLES).select("doc_id", "decoded_sha256").collect()
+    assert dict(map(tuple, made)) == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts.items()}
+    found = queries.QUERIES["op10_language"](spark, TABLES).filter("held_out").collect()
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{TABLES}/documents.parquet").collect()}
+    assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in found) >= 0.98 * len(found)

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, lines, minmax, packing, pages, polytope, sharding, toxicity, vafile
+from . import (
+    bpe, language, lines, minmax, packing, pages, periods, polytope, sharding, tokencount, toxicity, vafile, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +111,20 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10"""
+
+
+@_query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings", "vec_id", "embedding"), components=8)
+
+
+@_query
+def op12_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokencount.count(docs, path, public_tokenizers.PATTERN, limit=1024).select("doc_id", "tokens.*")
+
+
+@_query
+def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.report(_table(spark, folder, "documents", "doc_id", "text"), periods.planted)

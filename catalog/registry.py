@@ -39,10 +39,14 @@ def text_dates(df: DataFrame, *names: str) -> DataFrame:
 
 
 def mean_sql(value: str, over: str = "") -> str:
-    """Sum of the values as decimals, by their count."""
+    """Sum of the values, as multiples of 2^-64 in 128 bits and so without rounding, by their count.
+
+    The sum becomes a double through two parts of fewer than 53 bits, so it is rounded once.
+    """
     window = f" OVER {over}" if over else ""
-    total = f"sum(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18))){window}"
-    return f"(CAST(CAST({total} AS VARCHAR) AS DOUBLE) / count({value}){window})"
+    total = f"sum(CAST({value} * 18446744073709551616e0 AS HUGEINT)){window}"
+    high, low = f"CAST({total} // 1125899906842624 AS DOUBLE)", f"CAST({total} % 1125899906842624 AS DOUBLE)"
+    return f"(({high} * 1125899906842624e0 + {low}) / 18446744073709551616e0 / count({value}){window})"
 
 
 def round_sql(value: str, digits: int) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverstat.functions import hour_key, mean_of
+from riverstat.functions import grouped, hour_key
 from riverstat.operators.moving import MAX_7, MEAN_7, MEAN_30, MIN_7, MovingMean, moving
 from riverstat.operators.reshape import to_statistics
 from riverstat.operators.rollup import complete_days, daily, hourly
@@ -86,9 +86,10 @@ SHIP_WINDOWS = windows_sql(SHIP_KEYS_SQL, "date", 7, 30)
 def ship_days(t: Tables, *keys: str) -> DataFrame:
     q = F.col("l_quantity")
     lines = t.lineitem.withColumn("site_no", F.concat("l_returnflag", "l_linestatus"))
-    return lines.groupBy(*(keys or SHIP_KEYS), F.to_date("l_shipdate").alias("date")).agg(
+    return grouped(
+        lines, [*(keys or SHIP_KEYS), F.to_date("l_shipdate").alias("date")], {"dyMean": "l_quantity"},
         F.min("l_shipdate").alias("dDTmin"), F.max("l_shipdate").alias("dDTmax"), F.max(q).alias("dyMax"),
-        F.min(q).alias("dyMin"), mean_of(q).alias("dyMean"),
+        F.min(q).alias("dyMin"),
     )
 
 

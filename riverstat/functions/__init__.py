@@ -10,7 +10,8 @@ from .clock import (
     time_text,
     wall_clock,
 )
-from .numeric import exact_decimal, fahrenheit_to_celsius, mean_from, mean_of, mean_parts, round_nearest
+from .exact import grouped
+from .numeric import fahrenheit_to_celsius, round_nearest
 from .text import (
     activity_id,
     base_identifier,
@@ -25,8 +26,8 @@ from .text import (
 
 __all__ = [
     "activity_id", "base_identifier", "blank_to_null", "clock_hhmm", "compact_date", "date_text",
-    "exact_decimal", "fahrenheit_to_celsius", "hour_key", "iso_datetime", "lookup", "mdy_date", "mdy_datetime",
-    "mean_from", "mean_of", "mean_parts", "month_text", "months_instrument_id", "null_to_blank", "number_text",
+    "fahrenheit_to_celsius", "grouped", "hour_key", "iso_datetime", "lookup", "mdy_date", "mdy_datetime",
+    "month_text", "months_instrument_id", "null_to_blank", "number_text",
     "round_nearest", "series_key",
     "strip_blanks", "time_text", "wall_clock",
 ]

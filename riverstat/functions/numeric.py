@@ -1,45 +1,10 @@
-"""Numbers: order-free means, rounding, unit conversion."""
+"""Numbers: rounding, unit conversion."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Means add decimals. Their addition gives the same sum in every order, so a mean does not depend on partitioning, retries
-# or task order, and results rounded afterwards compare equal from one run to the next.
-_EXACT = "decimal(38,18)"
-
-
-def _fitting(made: Column, given: Column) -> Column:
-    """`made`; an error where it is NULL although something is given."""
-    too_large = F.raise_error(F.lit(f"a mean needs values and sums that fit {_EXACT}")).cast(_EXACT)
-    return F.when(given & made.isNull(), too_large).otherwise(made)
-
-
-def exact_decimal(value: Column) -> Column:
-    """The value as a mean adds it. Windows take it from a column, so that it is made once a row and not once a frame."""
-    number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-    return _fitting(number.try_cast(_EXACT), number.isNotNull())
-
-
-def mean_parts(exact: Column) -> tuple[Column, Column]:
-    """The aggregates a mean of exact decimals is made of; over a window, each of them is evaluated once."""
-    return F.count(exact), F.try_sum(exact)
-
-
-def mean_from(n: Column, total: Column) -> Column:
-    """Mean from its parts."""
-    return F.try_divide(_fitting(total, n > 0).cast("double"), n)
-
-
-def mean_of(value: Column) -> Column:
-    """Mean of the values that are neither NULL nor NaN, as an aggregate.
-
-    One rule for all magnitudes: values count to 18 decimals, and a value or sum of 1e20 or more is an error.
-    """
-    return mean_from(*mean_parts(exact_decimal(value)))
-
-
 def round_nearest(value: Column, digits: int) -> Column:
     """Round to the nearer of the two neighbours with `digits` decimals; an exact tie goes to the even one.
 

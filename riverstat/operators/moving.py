@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_decimal, mean_from, mean_of, mean_parts
+from ..functions.exact import PARTS, grouped, limb_sums, mean_sql, with_limbs
 
 
 @dataclass(frozen=True)
@@ -41,28 +41,42 @@ def moving(
     `bounds` = (start, end) columns adds the frame's earliest start and latest end as `ana_startdate<days>` and
     `ana_enddate<days>`.
 
-    The window holds one series at daily grain: at most 366 rows per year of record, whatever the number of readings.
+    Each row carries the running totals of its series up to its day, and those up to the day before its frame; a mean is
+    their difference, so a row costs the same whatever the length of the frame. The totals are whole numbers
+    (`functions.exact`), which lose nothing when they are subtracted. Both are frames without a beginning, which Spark
+    extends row by row. The window holds one series at daily grain: at most 366 rows per year of record, whatever the
+    number of readings.
     """
-    by_day = Window.partitionBy(*keys).orderBy(F.unix_date(day))
-    # every aggregate once, then the rules on plain columns
-    parts = {"row": F.count(F.lit(1)).over(by_day.rangeBetween(Window.unboundedPreceding, Window.currentRow))}
-    rules = {}
+    series = ", ".join(f"`{k}`" for k in keys)
+    by_day = f"PARTITION BY {series} ORDER BY unix_date(`{day}`) RANGE BETWEEN"
+
+    def between(total: str, days: int) -> str:
+        until = f"OVER ({by_day} UNBOUNDED PRECEDING AND"
+        return f"coalesce({total} {until} CURRENT ROW), 0) - coalesce({total} {until} {days} PRECEDING), 0)"
+
+    parts = {"row": f"count(1) OVER ({by_day} UNBOUNDED PRECEDING AND CURRENT ROW)"}
     for days in sorted({s.days for s in stats}):
-        frame = by_day.rangeBetween(1 - days, Window.currentRow)
-        parts[f"_rows{days}"] = F.count(F.lit(1)).over(frame)
-        enough = (F.col(f"_rows{days}") >= days - 1) & (F.col("row") >= days)
-        for stat in (s for s in stats if s.days == days):
-            names = [f"_{stat.out}_n", f"_{stat.out}_sum"]
-            parts.update(zip(names, (p.over(frame) for p in mean_parts(F.col(f"_{stat.value}_exact"))), strict=True))
-            usable = enough & (F.col(names[0]) == F.col(f"_rows{days}")) if null_poison else enough
-            rules[stat.out] = F.when(usable, mean_from(*map(F.col, names)))
+        frame = f"OVER ({by_day} {days - 1} PRECEDING AND CURRENT ROW)"
+        parts[f"_rows{days}"] = between("count(1)", days)
+        for value in dict.fromkeys(s.value for s in stats if s.days == days):
+            sums = limb_sums(value)
+            # Doubles lose digits when they are subtracted; there are some only in numbers of 2^63 or more.
+            big = f"{sums.pop('big')} {frame}"
+            parts |= {**{f"_{value}{days}_{p}": between(s, days) for p, s in sums.items()}, f"_{value}{days}_big": big}
         if bounds:
-            parts[f"ana_startdate{days}"] = F.min(bounds[0]).over(frame)
-            parts[f"ana_enddate{days}"] = F.max(bounds[1]).over(frame)
-    exact = {f"_{s.value}_exact": exact_decimal(F.col(s.value)) for s in stats}
-    dated = df.filter(F.col(day).isNotNull()).withColumns(exact)
-    helpers = [*exact, *(name for name in parts if name.startswith("_"))]
-    return dated.withColumns(parts).withColumns(rules).drop(*helpers)
+            parts[f"ana_startdate{days}"] = f"min(`{bounds[0]}`) {frame}"
+            parts[f"ana_enddate{days}"] = f"max(`{bounds[1]}`) {frame}"
+    dated = with_limbs(df.filter(F.col(day).isNotNull()), *(s.value for s in stats))
+    summed = dated.selectExpr("*", *(f"{sql} AS `{n}`" for n, sql in parts.items()))
+    made = {}
+    for stat in stats:
+        names = {p: f"_{stat.value}{stat.days}_{p}" for p in PARTS}
+        enough = f"_rows{stat.days} >= {stat.days - 1} AND row >= {stat.days}"
+        if null_poison:
+            enough += f" AND `{names['n']}` = _rows{stat.days}"
+        made[stat.out] = mean_sql(names, enough)
+    kept = [*df.columns, *(c for c in parts if not c.startswith("_"))]
+    return summed.selectExpr(*(f"`{c}`" for c in kept), *(f"{sql} AS `{out}`" for out, sql in made.items()))
 
 
 def day_cells(
@@ -74,12 +88,8 @@ def day_cells(
     of the `carried` texts. This keeps the windows bounded by the calendar whatever the table holds, and the rows of a
     series that dominates the table are reduced before they meet.
     """
-    rows = F.count(F.lit(1))
-    return (
-        df.filter(F.col(day).isNotNull())
-        .groupBy(*keys, day)
-        .agg(
-            *(F.when(F.count(v) == rows, mean_of(F.col(v))).alias(v) for v in values),
-            *(F.min(c).alias(c) for c in carried),
-        )
+    # NaN counts as missing in a mean, and as a value here.
+    return grouped(
+        df.filter(F.col(day).isNotNull()), [*keys, day], {v: v for v in values}, *(F.min(c).alias(c) for c in carried),
+        rule=lambda v: F.count(v) == F.count(F.lit(1)),
     )

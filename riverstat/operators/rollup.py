@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import mean_of
+from ..functions import grouped
 
 
 def hourly(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame:
@@ -18,19 +18,16 @@ def hourly(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame
     aggregates each input partition before the shuffle. A reading without a time belongs to no hour.
     """
     v = F.col(value)
-    return (
-        df.filter(F.col(ts).isNotNull())
-        .groupBy(*keys, F.to_date(ts).alias("date"), F.hour(ts).alias("hour"))
-        .agg(
-            F.min(ts).alias("hrDTmin"),
-            F.max(ts).alias("hrDTmax"),
-            F.count(v).alias("hrN"),
-            mean_of(v).alias("hrMean"),
-            F.min(v).alias("hrMin"),
-            F.max(v).alias("hrMax"),
-        )
-        .filter(F.col("hrN") > 0)
+    hours = grouped(
+        df.filter(F.col(ts).isNotNull()), [*keys, F.to_date(ts).alias("date"), F.hour(ts).alias("hour")],
+        {"hrMean": value},
+        F.min(ts).alias("hrDTmin"),
+        F.max(ts).alias("hrDTmax"),
+        F.count(v).alias("hrN"),
+        F.min(v).alias("hrMin"),
+        F.max(v).alias("hrMax"),
     )
+    return hours.filter(F.col("hrN") > 0)
 
 
 def daily(
@@ -46,12 +43,12 @@ def daily(
     shuffle. A series has at most 24 rows per calendar day here, however many readings it had.
     """
     rows = hours.repartition(*keys) if cluster else hours
-    days = rows.groupBy(*keys, "date").agg(
+    days = grouped(
+        rows, [*keys, "date"], {"dyMean": "hrMean"},
         F.min("hrDTmin").alias("dDTmin"),
         F.max("hrDTmax").alias("dDTmax"),
         F.count(F.lit(1)).alias("hrNday"),
         F.sum("hrN").alias("dyN"),
-        mean_of(F.col("hrMean")).alias("dyMean"),
         F.min("hrMin").alias("dyMin"),
         F.max("hrMax").alias("dyMax"),
     )

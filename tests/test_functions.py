@@ -17,7 +17,6 @@ from riverstat.functions import (
     lookup,
     mdy_date,
     mdy_datetime,
-    mean_of,
     month_text,
     months_instrument_id,
     null_to_blank,
@@ -52,38 +51,6 @@ def test_fahrenheit(spark):
     assert one(spark, fahrenheit_to_celsius(F.col("x")), x=-40.0) == -40.0
 
 
-def test_mean_does_not_depend_on_order(spark):
-    rng = random.Random(1)
-    values = [round(rng.uniform(0, 500), 3) for _ in range(3000)]
-    means = set()
-    for parts in (1, 3, 8):
-        rng.shuffle(values)
-        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
-        means.add(df.agg(mean_of(F.col("x"))).first()[0])
-    assert len(means) == 1
-    assert math.isclose(means.pop(), math.fsum(values) / len(values), abs_tol=1e-9)
-
-
-def test_mean_has_one_rule_for_all_magnitudes(spark):
-    def mean(*values):
-        return spark.createDataFrame([(v,) for v in values], "x double").agg(mean_of(F.col("x"))).first()[0]
-
-    assert mean(1e-10, 3e-10) == 2e-10
-    assert mean(0.1234567891234, 0.1234567891239) == 0.12345678912365
-    assert mean(1e-10, 1.0, 1e10) == (1e10 + 1 + 1e-10) / 3
-    assert mean(*[3.9e9] * 6) == 3.9e9
-    assert mean(None, 2.0, math.nan) == 2.0
-    assert mean(None, None) is None
-    for values in ((1e300, 3e300), (math.inf,), (9e19, 9e19)):
-        with pytest.raises(Exception, match="a mean needs values and sums that fit"):
-            mean(*values)
-
-
-def test_mean_of_decimals(spark):
-    df = spark.sql("select cast(v as decimal(12,2)) x from values (1.10), (2.20), (3.40) as t(v)")
-    assert math.isclose(df.agg(mean_of(F.col("x"))).first()[0], 6.7 / 3, abs_tol=1e-9)
-
-
 def test_clock(spark):
     day = dt.date(2020, 7, 1)
     assert one(spark, iso_datetime(F.col("d"), F.col("t")), d=day, t="13:30:05") == dt.datetime(2020, 7, 1, 13, 30, 5)

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -96,6 +97,20 @@ def test_two_shuffles_from_readings_to_moving_means(spark):
     plan = moving(days, ["station"], "date", [MAX, MEAN_30])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2
     assert plan.count("+- Window") == 1
+    assert "UNBOUNDED" in plan.upper()
+
+
+def test_a_huge_value_harms_only_its_own_frames(spark):
+    values = [1.1, 2.2, 3.3, 1e300, 5.5, 6.6, 7.7, 8.8, 9.9, 0.1, 0.2, 0.3, 0.4]
+    got = result(moving(series(spark, range(13), values), ["station"], "date", [MAX]))
+    assert got[6] == 1e300 / 7 and got[9] == 1e300 / 7
+    assert got[10:] == [math.fsum(values[i - 6:i + 1]) / 7 for i in (10, 11, 12)]
+
+
+def test_a_filter_on_means_keeps_the_plan_small(spark):
+    df = series(spark, range(40)).withColumns({"dyMean": F.lit(1.0), "dyMin": F.lit(2.0)})
+    moved = moving(moving(df, ["station"], "date", [MAX]).drop("row"), ["station"], "date", [MEAN_30, MovingMean("of", "ma_max7", 7)])
+    assert moved.filter("ma_mean30 = 1.0 AND of > 0").count() == 11
 
 
 def test_repeated_days_count_once(spark):

@@ -21,6 +21,7 @@ from riverstat.functions import (
     time_text,
     wall_clock,
 )
+from riverstat.plans import published
 from riverstat.operators.quality import (
     date_window,
     drop_qualifiers,
@@ -119,7 +120,7 @@ def qc_filters(t: Tables) -> DataFrame:
         "qualifier": drop_qualifiers(orders, "priority", denied),
         "site type": keep_site_types(orders, "priority", denied),
         "grade": keep_grades(lines, "l_linenumber", "l_quantity", (1,), (10, 20)),
-        "published": lines.filter(F.col("l_returnflag") == "R"),
+        "published": published(lines.withColumn("published_status", F.when(F.col("l_returnflag") == "R", K.PUBLISHED))),
         "parameter": lines.filter(~F.concat("l_returnflag", "l_linestatus").rlike("AF")),
     }
     rows = None

@@ -98,49 +98,53 @@ def stored_rows_matched(new: DataFrame, existing: DataFrame, columns: Columns =
     return null_safe_join(existing.withColumns(_stored_keys()), sent, MATCH_KEYS, "left_semi")
 
 
+def _one_key(keys: dict[str, Column]) -> dict[str, Column]:
+    """The match keys as one struct, in which NULL equals NULL, and its hash, by which rows are sorted and told apart first."""
+    return {"_hash": F.xxhash64(*keys.values()), "_key": F.struct(*(k.alias(n) for n, k in keys.items()))}
+
+
 def classify_duplicates(new: DataFrame, existing: DataFrame, columns: Columns = Columns()) -> DataFrame:
     """Class of each new row: no stored match, a match with the same result, a match with another result.
 
-    A row whose matches include both appears once in each class. The store is reduced to one row per key and to one per
-    key and result first, so both joins add at most one row to each new row, however often a key is stored or sent;
-    `stored_matches` counts the stored rows, `stored_result` and `stored_uid` show one of them; `stored_rows_matched`
-    has all of them.
+    A row whose matches include both appears once in each class. The store is reduced to a row per key and result, and that
+    to a row per key, so both lookups add at most one row to each new row, however often a key is stored or sent.
+    `stored_matches` counts the stored rows, `stored_result` and `stored_uid` show one of them; `stored_rows_matched` has all
+    of them. Where `stored_uid` is not asked for, both reductions are hash aggregations and the store is scanned once. Both
+    sides are shuffled right below each join, so AQE can split the partition of a hot key.
     """
-    keyed = new.withColumns({**_new_keys(columns), "k_result": F.col(columns.result).cast("double")})
+    sent = new.withColumns({**_one_key(_new_keys(columns)), "_result": F.col(columns.result).cast("double")})
     stored = existing.select(
-        *(key.alias(name) for name, key in _stored_keys().items()),
-        F.col("Result").cast("double").alias("k_result"),
-        F.col("Result_UID").alias("uid"),
-    )
-    same = stored.groupBy(*MATCH_KEYS, "k_result").agg(
-        F.count(F.lit(1)).alias("n_same"), F.min("uid").alias("same_uid")
+        *(key.alias(name) for name, key in _one_key(_stored_keys()).items()),
+        F.col("Result").cast("double").alias("result"), F.col("Result_UID").alias("uid"),
     )
-    one = F.struct("k_result", "same_uid")
-    any_result = same.groupBy(*MATCH_KEYS).agg(
-        F.sum("n_same").alias("n_any"), F.min(one).alias("low"), F.max(one).alias("high")
+    same = stored.groupBy("_hash", "_key", "result").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
+    missing = F.col("result").isNull()
+    of_key = same.groupBy("_hash", "_key").agg(
+        F.sum("n").alias("n_any"), F.min("result").alias("low"), F.max("result").alias("high"),
+        F.min_by("uid", "result").alias("low_uid"), F.max_by("uid", "result").alias("high_uid"),
+        F.min(F.when(missing, F.col("uid"))).alias("missing_uid"),
     )
-    matched = null_safe_join(keyed, any_result, MATCH_KEYS, "left")
-    matched = null_safe_join(matched, same, [*MATCH_KEYS, "k_result"], "left")
+    same = same.select("_hash", "_key", F.col("result").alias("_result"), F.col("n").alias("n_same"), F.col("uid").alias("same_uid"))
+    matched = null_safe_join(sent, of_key, ["_hash", "_key"], "left")
+    matched = null_safe_join(matched, same, ["_hash", "_key", "_result"], "left")
 
     n_same = F.coalesce(F.col("n_same"), F.lit(0))
-    other = F.when(F.col("low.k_result").eqNullSafe(F.col("k_result")), F.col("high")).otherwise(F.col("low"))
-
-    def outcome(name: str, count: Column, result: Column, uid: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("dup_class"), count.cast("bigint").alias("stored_matches"),
-            result.alias("stored_result"), uid.alias("stored_uid"),
-        )
-
-    uid_type = stored.schema["uid"].dataType
-    nothing = outcome(NEW, F.lit(0), F.lit(None).cast("double"), F.lit(None).cast(uid_type))
-    found = F.array(
-        outcome(DUPLICATE, n_same, F.col("k_result"), F.col("same_uid")),
-        outcome(UPDATE, F.col("n_any") - n_same, other["k_result"], other["same_uid"]),
+    is_low, is_high = F.col("low").eqNullSafe(F.col("_result")), F.col("high").eqNullSafe(F.col("_result"))
+    # Any result but the row's own; where the only number is the row's, the other ones are missing.
+    low, high = F.col("low").isNotNull() & ~is_low, F.col("high").isNotNull() & ~is_high
+    duplicate = F.col("dup_class") == DUPLICATE
+    update = F.col("dup_class") == UPDATE
+    classes = F.when(F.col("n_any").isNull(), F.array(F.lit(NEW))).otherwise(
+        F.array_compact(F.array(F.when(n_same > 0, DUPLICATE), F.when(F.col("n_any") > n_same, UPDATE)))
     )
-    outcomes = F.when(F.col("n_any").isNull(), F.array(nothing)).otherwise(
-        F.filter(found, lambda o: o["stored_matches"] > 0)
+    return matched.withColumn("dup_class", F.explode(classes)).select(
+        *new.columns, "dup_class",
+        F.when(duplicate, n_same).when(update, F.col("n_any") - n_same).otherwise(F.lit(0)).cast("bigint").alias("stored_matches"),
+        F.when(duplicate, F.col("_result")).when(update & low, F.col("low")).when(update & high, F.col("high"))
+        .alias("stored_result"),
+        F.when(duplicate, F.col("same_uid")).when(update & low, F.col("low_uid")).when(update & high, F.col("high_uid"))
+        .when(update, F.col("missing_uid")).alias("stored_uid"),
     )
-    return matched.select(*new.columns, F.inline(outcomes))
 
 
 def duplicate_views(classified: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:

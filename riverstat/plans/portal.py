@@ -14,6 +14,7 @@ from ..operators.quality import keep_grades
 from ..operators.reshape import stack, to_statistics
 from ..operators.rollup import complete_days, daily, hourly
 from ..operators.summary import stations_to_compute
+from ..sources.requests import keep_inventoried
 from ..operators.template import (
     DAY_AND_MOVING,
     PORTAL,
@@ -107,13 +108,15 @@ def located(rows: DataFrame, crosswalk: DataFrame) -> DataFrame:
 def portal_stats(
     readings: DataFrame, inventory: DataFrame, crosswalk: DataFrame, project: str
 ) -> dict[str, DataFrame]:
-    """All results of portal readings. Without usable readings every table is empty.
+    """All results of portal readings that the inventory asks for. Without usable readings every table is empty.
 
+    `inventory` has `station` and `char`, and may have `startdate` and `enddate`.
     Which stations lack a ready-made 7-day series is decided on the portal's own codes, before they are replaced.
     An instrument is named after its location's extent, so statistics are grouped by location alone and only the pH
     passthrough is joined to the instruments.
     """
-    valued = readings.filter(F.col("Result_Value").isNotNull())
+    asked = keep_inventoried(readings, inventory, "Monitoring_Location_ID", "Characteristic_Name", F.col("datetime"))
+    valued = asked.filter(F.col("Result_Value").isNotNull())
     good = keep_grades(valued, "Grade_Code", "Approval_Level", (K.GOOD_GRADE,), (K.APPROVED_LEVEL,))
 
     def deployed(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from . import constants as K
 from .operators.split import file_numbers
@@ -29,11 +30,21 @@ def write_by_source(
 
 
 def write_if_any(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
-    """Write only when there are rows; tells whether it did."""
-    if df.isEmpty():
-        return False
-    write_csv(df, path, mode)
-    return True
+    """Write only when there are rows; tells whether it did.
+
+    The rows are counted while they are written, so the table is computed once; the folder that an empty table leaves is
+    taken away again, unless it held something before.
+    """
+    seen = Observation()
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    appended = mode == "append" and files.exists(folder)
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
+    if seen.get.get("rows"):
+        return True
+    if not appended:
+        files.delete(folder, True)
+    return False
 
 
 def write_bounded(

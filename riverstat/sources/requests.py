@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -24,7 +24,10 @@ def _combinations(stations: DataFrame, station: str, names: Sequence[str], known
 def portal_requests(
     stations: DataFrame, station: str, startdate: str, enddate: str, chars: Sequence[str], base_url: str
 ) -> DataFrame:
-    """Requests of the city portal: `url, station, char, unit`."""
+    """Requests of the city portal: `url, station, char, unit`, and the `file_name` under which an answer is landed.
+
+    The table is what `services.read_portal` tags the landed files with.
+    """
     units = {c: u for c, u in K.PORTAL_UNITS.items() if u is not None}
     rows = _combinations(stations, station, chars, list(K.PORTAL_UNITS)).withColumn(
         "unit", lookup(F.col("char"), units, F.lit(None).cast("string"))
@@ -36,7 +39,12 @@ def portal_requests(
         F.lit("&ExportFormat=csv&Compressed=false&Unit="), F.coalesce(F.col("unit"), F.lit("NA")),
         F.lit("&Timezone=-8"),
     )
-    return rows.select(url.alias("url"), "station", "char", "unit")
+    return rows.select(url.alias("url"), "station", "char", "unit", landed_name(F.col("station"), F.col("char")).alias("file_name"))
+
+
+def landed_name(station: Column, characteristic: Column) -> Column:
+    """Name of a landed file, without extension: what is not a letter, digit, `-` or `.` becomes `_`."""
+    return F.regexp_replace(F.concat(station, F.lit("@"), characteristic), "[^A-Za-z0-9.-]", "_")
 
 
 def hydrology_requests(
@@ -82,14 +90,33 @@ def inventory_from_catalogue(
 def keep_inventoried(
     readings: DataFrame, inventory: DataFrame, station: str, characteristic: str, date: Column
 ) -> DataFrame:
-    """Readings that some inventory row asks for: its station, its characteristic, inside its dates."""
-    wanted = inventory.select(
-        F.col("station").alias("_station"), F.col("char").alias("_char"),
-        F.col("startdate").cast("date").alias("_from"), F.col("enddate").cast("date").alias("_to"),
-    )
-    return readings.join(
-        wanted,
-        (F.col(station) == F.col("_station")) & (F.col(characteristic) == F.col("_char"))
-        & date.cast("date").between(F.col("_from"), F.col("_to")),
-        "left_semi",
+    """Readings that some inventory row asks for: its station, its characteristic, inside its dates.
+
+    An inventory without dates asks for all times. The intervals of a station and characteristic are first joined into
+    disjoint ones, in the order of their days, and become one row; so a reading meets at most one row, however many
+    intervals overlap, and a station that dominates the readings makes no pairs.
+    """
+    dated = {"startdate", "enddate"} <= set(inventory.columns)
+    named = inventory.select(F.col("station").alias("_station"), F.col("char").alias("_char"), *(
+        [F.col("startdate").cast("date").alias("_from"), F.col("enddate").cast("date").alias("_to")] if dated else []
+    ))
+    same = (F.col(station) == F.col("_station")) & (F.col(characteristic) == F.col("_char"))
+    if not dated:
+        return readings.join(named.distinct(), same, "left_semi")
+    disjoint = disjoint_intervals(named.filter("_from <= _to"), ["_station", "_char"], "_from", "_to")
+    wanted = disjoint.groupBy("_station", "_char").agg(F.collect_list(F.struct("_from", "_to")).alias("_spans"))
+    day = date.cast("date")
+    inside = F.exists("_spans", lambda span: day.between(span["_from"], span["_to"]))
+    return readings.join(wanted, same).filter(inside).drop("_station", "_char", "_spans")
+
+
+def disjoint_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """The days of a key's intervals as the fewest intervals; those that overlap or follow one another are one."""
+    by_start = Window.partitionBy(*keys).orderBy(start)
+    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.max(end).over(before) < F.date_sub(start, 1), F.lit(True)).cast("int")
+    numbered = (
+        df.select(*keys, start, end).distinct().withColumn("_opens", opens)
+        .withColumn("_number", F.sum("_opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
     )
+    return numbered.groupBy(*keys, "_number").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_number")

@@ -17,11 +17,12 @@ def read_portal(spark: SparkSession, path: str, requests: DataFrame) -> DataFram
     """Portal exports, each tagged with the station, characteristic and unit of its request.
 
     `requests` has `file_name` (without extension), `station`, `char`, `unit`. The first line of a file is a banner, the next
-    names the columns; all others are rows, also those whose time does not parse (it is NULL then). A file that no request
-    names is an error.
+    names the columns (a first cell that begins with date or timestamp, and no number); all others are rows, also those
+    whose time does not parse (it is NULL then). A file that no request names is an error.
     """
     raw = spark.read.schema(schemas.PORTAL_CSV).csv(path, mode="PERMISSIVE", header=True)
-    named = F.lower("datetime").rlike("^(timestamp|date)")
+    numbers = [f.name for f in schemas.PORTAL_CSV if f.dataType.simpleString() == "double"]
+    named = F.lower("datetime").rlike("^(timestamp|date)") & F.coalesce(*numbers).isNull()
     rows = raw.select("*", source_name().alias("file_name")).filter(~F.coalesce(named, F.lit(False)))
     tags = requests.select(
         "file_name", F.col("station").alias("Monitoring_Location_ID"),

@@ -81,6 +81,9 @@ def test_portal_exports(spark, tmp_path):
     put(tmp_path, "more/req2.csv", body.replace("2019-04-01T00:30:00", "soon"))
     odd = services.read_portal(spark, str(tmp_path / "more"), asked)
     assert (odd.count(), odd.filter("datetime IS NULL").count()) == (2, 1)
+    put(tmp_path, "more2/req2.csv", body.replace("2019-04-01T00:15:00", "date unknown"))
+    odd = services.read_portal(spark, str(tmp_path / "more2"), asked)
+    assert (odd.count(), odd.filter("datetime IS NULL AND Result_Value = 9.5").count()) == (2, 1)
     put(tmp_path, "unasked/other.csv", body)
     with pytest.raises(Exception, match="no request names the file other"):
         services.read_portal(spark, str(tmp_path / "unasked"), asked).collect()
@@ -203,6 +206,20 @@ def test_csv_sinks(spark, tmp_path):
     assert "null" not in part and '""' not in part
     assert sinks.write_if_any(df.limit(0), str(tmp_path / "none")) is False
     assert not (tmp_path / "none").exists()
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counted.add(len(batch))
+            yield batch
+
+    for rows, name in ((df.filter("n > 5"), "nothing"), (df, "some")):
+        assert sinks.write_if_any(rows.repartition(3).mapInPandas(count, df.schema), str(tmp_path / name)) is (name == "some")
+        assert (tmp_path / name).exists() is (name == "some")
+    assert counted.value == 3  # each row once: the table is not computed to look whether it is empty
+    assert sinks.write_if_any(df, str(tmp_path / "more"), "append") is True
+    assert sinks.write_if_any(df.limit(0), str(tmp_path / "more"), "append") is False
+    assert spark.read.csv(str(tmp_path / "more"), header=True).count() == 3
     assert sinks.write_tables({"x": df, "empty": df.limit(0)}, str(tmp_path / "tables")) == ["x"]
     sinks.write_csv(df, str(tmp_path / "sorted"), sort=("n",))
     assert spark.read.csv(str(tmp_path / "sorted"), header=True).count() == 3

@@ -6,6 +6,7 @@ import os
 from test_files import HEADER, LOGGER, put
 
 from riverstat import jobs, schemas
+from riverstat.sources import requests
 
 
 def read(spark, path):
@@ -81,6 +82,25 @@ def test_portal_files(spark, tmp_path):
     assert not (tmp_path / "out" / "pH_deployments").exists()
 
 
+def test_from_requests_to_portal_files(spark, tmp_path):
+    """What is landed under the requests' names is read, and only what the inventory asks for is used."""
+    stations = spark.createDataFrame([("FC-8",), ("VNB",)], "station string")
+    asked = requests.portal_requests(stations, "station", "2020-07-01", "2020-07-31", ["pH.Field Visits", "pH.Primary"], "u?")
+    names = [r.file_name for r in asked.collect()]
+    assert names[0] == "FC-8_pH.Field_Visits" and len(set(names)) == 4
+    head = "banner\nTimestamp,Value,Grade,Approval,Interpolation,Event,Comment\n"
+    for name in names:
+        put(tmp_path, f"in/{name}.csv", head + "2020-07-01T10:00:00,7.5,100,1200,1,,\n2020-07-09T10:00:00,7.9,100,1200,1,,\n")
+    inventory = spark.createDataFrame(
+        [("FC-8", "pH.Primary", "2020-07-01", "2020-07-03"), ("FC-8", "pH.Primary", "2020-07-02", "2020-07-05"),
+         ("FC-8", "pH.Primary", None, "2020-08-01"), ("VNB", "pH.Primary", "2021-01-01", "2021-02-01")],
+        "station string, char string, startdate string, enddate string")
+    crosswalk = spark.createDataFrame([("FC-8", "M1"), ("VNB", "M2")], schemas.STATION_CROSSWALK)
+    jobs.portal_files(spark, str(tmp_path / "in"), asked, inventory, crosswalk, "Call", str(tmp_path / "out"))
+    ph = read(spark, tmp_path / "out" / "pH_continuous").collect()
+    assert [(r.Monitoring_Location_ID, float(r.Result_Value)) for r in ph] == [("M1", 7.5)]
+
+
 def test_portal_json_files(spark, tmp_path):
     points = [{"timestamp": "2024-01-01T00:00:00-08:00", "value": 7.5, "gradeCode": 100, "approvalLevel": 900}]
     data_set = {"locationIdentifier": "FC-8", "parameter": "pH", "unit": "pH", "label": "Primary", "identifier": "pH@1"}

@@ -76,14 +76,35 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.Record
         at = to
 
 
+def free(df: DataFrame, name: str) -> str:
+    """`name`, or with underscores behind it, so that the table has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, until the values of `column` have `limit` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def with_struct(
     df: DataFrame, column: str, into: str, fields: T.StructType,
-    start: Callable[[], Callable[[list[str | None]], list[pa.Array]]], limit: int = 4 << 20,
+    start: Callable[[], Callable[[list[str | None]], list[pa.Array]]], limit: int = 4 << 20, gather: bool = False,
 ) -> DataFrame:
     """Add a struct column computed from a text column; a column of that name is replaced, all others are kept.
 
     `start` runs once a task and returns what turns a list of whole texts into one Arrow array per field. Texts come in
-    lists of at most `limit` bytes, or one text alone.
+    lists of at most `limit` bytes, or one text alone; with `gather` several batches may make a list.
     """
     ship(df.sparkSession)
     df = df.select([c for c in df.columns if c != into])
@@ -92,7 +113,7 @@ def with_struct(
 
     def run(batches):
         compute = start()
-        for batch in batches:
+        for batch in gathered(batches, column, limit) if gather else batches:
             for piece in pieces(batch, column, limit):
                 made = compute(piece.column(column).to_pylist())
                 struct = pa.StructArray.from_arrays(made, names)

@@ -11,8 +11,9 @@ vectors it is linked with, and the smallest class it is connected to in the bloc
 counted in the one with the smallest hash, which both vectors' lists of buckets tell.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, and those without label, link with
-nothing; vectors of different lengths are never compared; rows are vectors, also if they repeat a vec_id; an empty table gives no
-rows; other columns are ignored.
+nothing; vectors of different lengths are never compared; rows are vectors, also if they repeat a vec_id with the same or
+another vector, so classes have numbers of their own and component_id is the smallest vec_id of all rows in the component;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -166,9 +167,9 @@ def links(
     rows = rows.withColumns({"a": keys[0], "b": keys[1]})
     classes = cut(
         rows.filter("usable").groupBy("a", "b").agg(
-            F.min("vec_id").alias("rep"), F.any_value("label").alias("label"),
+            F.min("vec_id").alias("least"), F.any_value("label").alias("label"),
             F.any_value("embedding").alias("embedding"), F.count(F.lit(1)).alias("copies"),
-        )
+        ).withColumn("rep", F.monotonically_increasing_id())  # read again from the written table only
     )
     hashed = cut(_hashed(classes, tables, functions, seed))
     entries = hashed.select("rep", F.explode(F.array_distinct("buckets")).alias("bucket"))
@@ -199,12 +200,13 @@ def links(
 
     found = cut(work.groupBy("group").applyInPandas(compare, "rep long, root long, n long"))
     linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    joined = components(found, "rep", "root")
+    joined = components(found, "rep", "root").withColumnRenamed("node", "rep")
+    smallest = classes.select("rep", "least").join(joined, "rep").groupBy("component").agg(F.min("least").alias("smallest"))
     of_class = cut(
-        classes.select("a", "b", "rep", "copies").join(linked, "rep", "left")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("a", "b", "rep", "copies", "least").join(linked, "rep", "left")
+        .join(joined, "rep", "left").join(smallest, "component", "left")
         .select("a", "b", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"),
-                F.coalesce("component", "rep").alias("component"))
+                F.coalesce("smallest", "least").alias("component"))
     )
     out = rows.select("vec_id", "usable", "a", "b").join(of_class, ["a", "b"], "left").select(
         "vec_id", F.when(F.col("usable"), F.col("n")).otherwise(F.lit(0)).cast("long").alias("n_links"),

@@ -10,8 +10,9 @@ that pass the limit are inserted or deleted, and only in the shards that hold su
 A line's key is the line without ASCII white space at both ends and with A-Z in lower case, held as a 128-bit hash. Keys of
 fewer than `shortest` code points are never shared. Lines end at line feeds; null or empty text is one empty line.
 
-Dropping reads texts once: filters of at most `SEND` bytes in all go to every task. Larger ones stay where they are: the
-lines' hashes are joined with the shared keys by a shuffle, and texts get their keys to drop by a join on their hash.
+Dropping asks the filters at any size. Those of at most `SEND` bytes in all go to every task, and texts are read once. Larger
+ones stay where they are: the distinct hashes of all lines go to the tasks that hold their shards' filters, and texts get
+their keys to drop by a join on their hash.
 
 Defined cases: a document is a row, so equal rows count as often as they occur; doc_id plays no part; empty tables give empty
 tables; a document that loses all lines keeps an empty text; other columns are kept.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pieces, ship, with_struct
+from .common import cut, free, pieces, ship, with_struct
 
 LEAST = 10
 SHORTEST = 1
@@ -290,12 +291,13 @@ def _by_join(index: LineIndex, docs: DataFrame, column: str, into: str) -> DataF
     shortest = index.shortest
     names = [c for c in docs.columns if c != into]
     text = F.coalesce(F.col(column), F.lit(""))
-    keyed = docs.select(*names, F.xxhash64(text).alias("_t"), F.xxhash64(text, F.lit(1)).alias("_u"))
+    t_name, u_name, work_name = (free(docs, name) for name in ("_t", "_u", "_work"))
+    keyed = docs.select(*names, F.xxhash64(text).alias(t_name), F.xxhash64(text, F.lit(1)).alias(u_name))
 
     def lines(batches):
         for batch in batches:
             for piece in pieces(batch, "text", 8 << 20):
-                t, u = piece.column("_t").to_numpy(), piece.column("_u").to_numpy()
+                t, u = piece.column("t").to_numpy(), piece.column("u").to_numpy()
                 hashes = [
                     [_hash(k) for k in {_key(x) for x in (s or "").encode().split(b"\n")} if _long_enough(k, shortest)]
                     for s in piece.column("text").to_pylist()
@@ -304,16 +306,29 @@ def _by_join(index: LineIndex, docs: DataFrame, column: str, into: str) -> DataF
                 flat = np.frombuffer(b"".join([h for x in hashes for h in x]), _HASHES)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(t, n)), pa.array(np.repeat(u, n)), pa.array(flat["a"].copy()), pa.array(flat["b"].copy())],
-                    ["_t", "_u", "a", "b"],
+                    ["t", "u", "a", "b"],
                 )
 
-    found = keyed.select("_t", "_u", F.col(column).alias("text")).mapInArrow(lines, "_t long, _u long, a long, b long")
-    shared = index.counts.filter(F.col("n") >= index.least).select("a", "b")
+    def ask(keys: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        """The shard's keys that its filter holds and its exceptions do not name."""
+        if not len(held) or not len(keys):
+            return keys[["a", "b"]].iloc[:0]
+        hit = CuckooFilter.from_bytes(held["filter"].iloc[0]).contains(keys["a"].to_numpy(), keys["b"].to_numpy())
+        raw = held["exceptions"].iloc[0]
+        wrong = pd.MultiIndex.from_arrays([np.frombuffer(raw, _HASHES)["a"], np.frombuffer(raw, _HASHES)["b"]])
+        return keys.loc[hit & ~pd.MultiIndex.from_frame(keys[["a", "b"]]).isin(wrong), ["a", "b"]]
+
+    texts = keyed.select(F.col(t_name).alias("t"), F.col(u_name).alias("u"), F.col(column).alias("text"))
+    found = texts.mapInArrow(lines, "t long, u long, a long, b long")
+    shard = F.pmod(F.shiftright("a", 20), F.lit(index.shards)).alias("shard")
+    asked = found.select("a", "b").distinct().select(shard, "a", "b")  # at most the shard's keys of `counts`
+    shared = asked.groupBy("shard").cogroup(index.filters.groupBy("shard")).applyInPandas(ask, "a long, b long")
     hits = found.join(shared, ["a", "b"], "left_semi").distinct()
     packed = F.concat(F.hex("a"), F.lit("/"), F.hex("b"))
-    drops = cut(hits.groupBy("_t", "_u").agg(F.collect_set(packed).alias("_drop")))  # one text's lines
-    joined = keyed.join(drops, ["_t", "_u"], "left").select(
-        *names, F.to_json(F.struct(F.col("_drop").alias("drop"), F.col(column).alias("text"))).alias("_work")
+    drops = cut(hits.groupBy("t", "u").agg(F.collect_set(packed).alias("_drop")))  # one text's lines
+    same = (F.col(t_name) == F.col("r.t")) & (F.col(u_name) == F.col("r.u"))
+    joined = keyed.join(drops.alias("r"), same, "left").select(
+        *(keyed[n] for n in names), F.to_json(F.struct(F.col("r._drop").alias("drop"), keyed[column].alias("text"))).alias(work_name)
     )
 
     def start():
@@ -337,4 +352,4 @@ def _by_join(index: LineIndex, docs: DataFrame, column: str, into: str) -> DataF
 
         return compute
 
-    return with_struct(joined, "_work", into, _FIELDS, start, 8 << 20).select(*names, into)
+    return with_struct(joined, work_name, into, _FIELDS, start, 8 << 20).select(*names, into)

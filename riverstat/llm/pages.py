@@ -13,10 +13,12 @@ A form and a word in a class or id may also belong to a wrapper (`no-sidebar`, a
 too, and such a mark is lifted where the element holds most of the content: more than half of the characters of content
 nodes that it and all unmarked parts hold. Where the class or id is the word alone (`comments`), no unmarked part may hold a
 content node. Where an unmarked article has text, only wrappers of other articles come into question, from nine tenths on.
-A `main` element with content lifts the marks around it. The marks inside a lifted element are judged in their turn. So a page
+Inside an article, a word that may also be the article's subject (`social-science`, `share-price`) and is not the whole
+class or id does not drop a part whose blocks' path ratios are half of those of unmarked text or more. A `main` element with
+content lifts the marks around it. The marks inside a lifted element are judged in their turn. So a page
 that has nothing but, say, a cookie notice gives that notice.
 
-Pages are read whole; unclosed and stray tags are tolerated as browsers do in the common cases (a paragraph ends where the
+Elements nested deeper than 512 are taken as siblings, as browsers do. Pages are read whole; unclosed and stray tags are tolerated as browsers do in the common cases (a paragraph ends where the
 next block begins, a list item at the next one, an end tag closes what is open inside it).
 
 Defined cases: null or empty html, and pages without text, give an empty text; equal rows are treated alike; other columns
@@ -55,6 +57,11 @@ DROPPED_WORDS = frozenset(
     " paywall pagination pager toolbar login signup widget masthead".split()
 )
 HEADER_WORDS = frozenset("header topbar site-header".split())
+SUBJECT_WORDS = frozenset(
+    "promotion banner notice notification alert menu navigation share sharing social related recommended popup modal overlay"
+    " toolbar widget".split()
+)
+DEEPEST = 512
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NO_CONTAINERS = INLINE | HEADINGS | frozenset(  # text blocks and what is part of one
     "p pre blockquote address figure figcaption ul ol li dl dt dd table caption colgroup thead tbody tfoot tr td th details"
@@ -97,7 +104,8 @@ class _Block:
     parts: list[str] = field(default_factory=list)
 
 
-KEPT, MARKED, NAMED, GONE = range(4)  # a mark among others, a mark that names the element, a mark that always holds
+# a mark that may be the subject, a mark among others, a mark that names the element, a mark that always holds
+KEPT, SUBJECT, MARKED, NAMED, GONE = range(5)
 
 
 def _mark(name: str, rest: str, inside_article: bool) -> int:
@@ -114,8 +122,11 @@ def _mark(name: str, rest: str, inside_article: bool) -> int:
             mark = max(mark, MARKED)
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
             marks = DROPPED_WORDS if inside_article else DROPPED_WORDS | HEADER_WORDS
-            if marks.intersection(w.lower() for w in _WORD.findall(value)):
-                mark = max(mark, MARKED if marks.isdisjoint(value.lower().split()) else NAMED)
+            met = marks.intersection(w.lower() for w in _WORD.findall(value))
+            if met and not marks.isdisjoint(value.lower().split()):
+                mark = max(mark, NAMED)
+            elif met:
+                mark = max(mark, SUBJECT if inside_article and met <= SUBJECT_WORDS else MARKED)
     return mark
 
 
@@ -127,6 +138,7 @@ class _Reader:
         self.articles: list[_Element] = []
         self.marked: dict[int, _Element] = {}
         self.named: set[int] = set()
+        self.subjects: set[int] = set()
         self.containers = {0}
         self._open = [_Element("", 0, "", False, (0,), ())]
         self._made = 0
@@ -155,18 +167,23 @@ class _Reader:
             if name == "br":
                 self.text(" ")
             return
+        mark = _mark(name, rest, self._article > 0)
+        dropped = self._open[-1].dropped or mark == GONE
+        if len(self._open) > DEEPEST:
+            self._pop(DEEPEST)
         top = self._open[-1]
         self._made += 1
-        mark = _mark(name, rest, self._article > 0)
-        dropped, above, marks = top.dropped or mark == GONE, (*top.above, self._made), top.marks
-        if mark in (MARKED, NAMED):
+        above, marks = (*top.above, self._made), top.marks
+        if mark in (SUBJECT, MARKED, NAMED):
             marks = (*marks, self._made)
         element = _Element(name, self._made, f"{top.path}/{name}", dropped, above, marks)
         self._open.append(element)
-        if mark in (MARKED, NAMED) and not dropped:
+        if mark in (SUBJECT, MARKED, NAMED) and not dropped:
             self.marked[self._made] = element
             if mark == NAMED:
                 self.named.add(self._made)
+            if mark == SUBJECT:
+                self.subjects.add(self._made)
         if name not in NO_CONTAINERS:
             self.containers.add(self._made)
         if name in ("article", "main"):
@@ -237,24 +254,52 @@ def _held(found: list[tuple[_Block, str]], size: np.ndarray, numbers: set[int])
     return int(sum(n for (b, _), n in zip(found, size) if not numbers.isdisjoint(b.above)))
 
 
+def _subjects(reader: _Reader, found: list[tuple[_Block, str]]) -> set[int]:
+    """Elements marked by what may be the subject whose own blocks have the path ratios of unmarked text."""
+    weight = _weights([b.path for b, _ in found], [t for _, t in found])
+    plain = [w for (b, _), w in zip(found, weight) if reader.subjects.issuperset(b.marks) and not b.marks]
+    if not reader.subjects or not plain:
+        return set(reader.subjects)
+    own: dict[int, list[float]] = {}
+    for (block, _), w in zip(found, weight):
+        if block.marks:
+            own.setdefault(block.marks[-1], []).append(w)
+    least = 0.5 * float(np.mean(plain))
+    return {n for n in reader.subjects if n not in own or np.mean(own[n]) >= least}
+
+
+def _inside(found: list[tuple[_Block, str]], size: np.ndarray, numbers: dict[int, _Element]) -> dict[int, int]:
+    """Characters of content nodes inside each of the elements that holds some."""
+    held: dict[int, int] = {}
+    for (block, _), n in zip(found, size.tolist()):
+        if n:
+            for number in block.marks:
+                if number in numbers:
+                    held[number] = held.get(number, 0) + n
+    return held
+
+
 def _lifted(reader: _Reader, found: list[tuple[_Block, str]]) -> set[int]:
     """Marked elements that hold the content, so their marks do not drop them."""
     _, size = _content(found)
-    lifted: set[int] = set()
+    lifted = _subjects(reader, found)
     for article in reader.articles:
         if article.name == "main" and _held(found, size, {article.number}):
             lifted.update(article.marks)
-    holding = {n: s for n in reader.marked if (s := _held(found, size, {n}))}
+    holding = _inside(found, size, reader.marked)
+    wrappers = {n for a in reader.articles for n in a.above}
     while True:
-        free = [(b, n) for (b, _), n in zip(found, size) if lifted.issuperset(b.marks)]
+        free = [((b, ""), n) for (b, _), n in zip(found, size) if lifted.issuperset(b.marks)]
         articles = {a.number for a in reader.articles if lifted.issuperset(a.marks)}
-        article = any(not articles.isdisjoint(b.above) for b, _ in free)
+        article = any(not articles.isdisjoint(b.above) for (b, _), _ in free)
+        total = int(sum(n for _, n in free))
+        free_inside = _inside([x for x, _ in free], np.array([n for _, n in free]), holding)
         best = (0.0, 0)
         for number, held in holding.items():
             if number in lifted or not lifted.issuperset(reader.marked[number].marks[:-1]):
                 continue
-            around, named = any(number in a.above for a in reader.articles), number in reader.named
-            share = held / (held + sum(int(n) for b, n in free if number not in b.above))
+            around, named = number in wrappers, number in reader.named
+            share = held / (held + total - free_inside.get(number, 0))
             if article and (named or not around) or named and share < 1:
                 continue
             if share > (0.9 if article else 0.5):

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, ship, with_struct
+from .common import free, pieces, ship, with_struct
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -235,6 +235,7 @@ def known_language(docs: DataFrame) -> DataFrame:
     if not profiles.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
-    foreign = F.when(F.col("_language.near") < FOREIGN, letters >= LETTERS).otherwise(False)
-    found = predict(docs, profiles, into="_language", near=True)
-    return found.filter((F.col("_language.lang_pred") != UNKNOWN) & ~foreign).select(docs.columns)
+    into = free(docs, "_language")
+    foreign = F.when(F.col(f"{into}.near") < FOREIGN, letters >= LETTERS).otherwise(False)
+    found = predict(docs, profiles, into=into, near=True)
+    return found.filter((F.col(f"{into}.lang_pred") != UNKNOWN) & ~foreign).select(docs.columns)

@@ -31,13 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, cut, pieces, shared_folder, ship
+from .common import Memo, cut, free, pieces, shared_folder, ship
 from .components import components
 
 ORDERS, ROWS = 120, 6
 SEND = 1_000_000  # ids that tasks may get
 BLOCK = 512  # members of a cluster in a block
-_ROW = "_row"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -258,15 +257,18 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     Rows get a number in a written table, so reading them again cannot change it.
     """
     path = f"{shared_folder(docs.sparkSession)}/numbered-{uuid.uuid4().hex}"
-    docs.withColumn(_ROW, F.monotonically_increasing_id()).write.parquet(path)
+    row, component = free(docs, "_row"), free(docs, "_component")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
     rows = docs.sparkSession.read.parquet(path)
-    known = rows.filter("doc_id IS NOT NULL").select(F.col(_ROW).alias("doc_id"), "text")
-    found = near_duplicates(known, words, percent).select(F.col("doc_id").alias(_ROW), "component_id", "kept")
-    groups = found.filter(~F.col("kept")).select("component_id").distinct()
-    members = cut(found.select(_ROW, "component_id").join(groups, "component_id", "left_semi"))
+    known = rows.filter("doc_id IS NOT NULL").select(F.col(row).alias("doc_id"), "text")
+    found = near_duplicates(known, words, percent).select(
+        F.col("doc_id").alias(row), F.col("component_id").alias(component), "kept"
+    )
+    groups = found.filter(~F.col("kept")).select(component).distinct()
+    members = cut(found.select(row, component).join(groups, component, "left_semi"))
     few = members.count() <= SEND
-    members = rows.select(_ROW, "doc_id").join(F.broadcast(members) if few else members, _ROW)
-    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", _ROW)).alias("first"))
-    dropped = members.join(first, "component_id").filter(F.col(_ROW) != F.col(f"first.{_ROW}")).select(_ROW)
+    members = rows.select(row, "doc_id").join(F.broadcast(members) if few else members, row)
+    first = members.groupBy(component).agg(F.min(F.struct("doc_id", row)).alias("first"))
+    dropped = members.join(first, component).filter(F.col(row) != F.col("first")[row]).select(row)
     dropped = cut(dropped)
-    return rows.join(F.broadcast(dropped) if few else dropped, _ROW, "left_anti").select(docs.columns)
+    return rows.join(F.broadcast(dropped) if few else dropped, row, "left_anti").select(docs.columns)

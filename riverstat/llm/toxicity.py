@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memo, cut, pieces, ship, with_struct
+from .common import cut, free, Memo, pieces, ship, with_struct
 
 SAMPLE = 20_000  # labelled rows that the model is learned from
 TERMS = 4096
@@ -219,4 +219,5 @@ def held_out() -> Column:
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic."""
     machine = learn(docs, labels, ~held_out())
-    return score(docs, machine, into="_toxicity").filter("_toxicity.predicted = 0").select(docs.columns)
+    into = free(docs, "_toxicity")
+    return score(docs, machine, into=into).filter(F.col(f"{into}.predicted") == 0).select(docs.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverstat.llm import language, lines, minmax, packing, toxicity
-from riverstat.llm.common import shared_folder
+from riverstat.llm.common import free, shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,9 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; text and n_chars become those of the lines that stay."""
-    kept = lines.drop_shared(lines.build(docs), docs, into="_lines")
-    changed = {"text": F.col("_lines.text"), "n_chars": F.length("_lines.text").cast(docs.schema["n_chars"].dataType)}
+    into = free(docs, "_lines")
+    kept = lines.drop_shared(lines.build(docs), docs, into=into)
+    changed = {"text": F.col(f"{into}.text"), "n_chars": F.length(f"{into}.text").cast(docs.schema["n_chars"].dataType)}
     return kept.withColumns(changed).select(docs.columns)
 
 

@@ -5,6 +5,9 @@ sequences and a rest. Where a piece goes is decided by the open sequences alone:
 left, the piece goes to the gap, or to a new sequence, that makes the sum of N(g)^2 over all gaps smallest afterwards. So
 no gap is left behind that many others share and few pieces fit. Full sequences count for nothing.
 
+A word's ids do not depend on its neighbours. The distinct words of 16 MB of texts are found by sorting their hashes, and only
+these are looked up among those a task remembers, or given to the tokenizer; ids of texts are then gathered by position.
+
 Pieces are dealt by a hash into blocks of about `BLOCK` pieces, and each block is packed in one task, longest pieces first
 (ties by document and piece). A block ends with a few open sequences, so their share falls with its size; it is the same
 at every input size, and no task holds more than a block. Only lengths and numbers move; texts and ids do not.
@@ -32,7 +35,10 @@ from .common import Memo, cut, with_struct
 BLOCK = 8192
 
 # Words whose ids a Python worker remembers.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
+
+# Bytes of text whose words are looked up together.
+TOGETHER = 16 << 20
 
 _SIGNS = (b".", b",")
 
@@ -89,27 +95,91 @@ class Words:
         return out
 
     def ids(self, texts: list[str | None], closing: int) -> list[np.ndarray]:
-        cut = [self._lower(t or "").replace(b"\n", b" ").split(b" ") for t in texts]
-        new = self._known.unknown(set().union(*map(set, cut)))
+        """Ids of each text and the closing one. Only distinct words are looked up, once for all texts of the list."""
+        words, of_word, ends = distinct_words([self._lower(t or "") for t in texts])
+        new = self._known.unknown(set(words))
         parts = [(w[:-1], w[-1:]) if w[-1:] in _SIGNS and w[-2:-1].islower() else (w,) for w in new]
         stems = self._stems.unknown({x for part in parts for x in part})
         self._stems.add(stems, self._found(stems))
         of_stem = self._stems.of
         self._known.add(new, [b"".join(map(of_stem, part)) for part in parts])
-        of, end = self._known.of, np.array([closing], dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(of, words)) + end, dtype="<u4") for words in cut]
+        each = list(map(self._known.of, words))
+        length = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat, begin = np.frombuffer(b"".join(each), dtype="<u4"), np.cumsum(length) - length
+        n = length[of_word]
+        total = np.append(0, np.cumsum(n))
+        made = flat[np.repeat(begin[of_word] - total[:-1], n) + np.arange(total[-1])]
+        cuts, end = total[ends].tolist(), np.array([closing], dtype="<u4")
+        return [np.append(made[i:j], end) for i, j in zip([0, *cuts[:-1]], cuts)]
+
+
+# Fixed random numbers per byte and powers of odd numbers per place, for two independent hashes of words.
+_BYTE = np.random.default_rng(5).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64)
+_PLACES = 1 << 12
+_POWER = np.stack([
+    np.cumprod(np.full(_PLACES, odd, dtype=np.uint64), dtype=np.uint64) for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+])
+
+# Bytes that are hashed at once.
+_HASHED = 1 << 20
+
+
+def _hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Two hashes of each word, none empty, by its bytes, their places and its length."""
+    out = np.empty((2, len(starts)), dtype=np.uint64)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(starts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + _HASHED, side="right")))
+        n = lengths[at:to]
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first, n)
+        letters = raw[place + np.repeat(starts[at:to], n)]
+        place %= _PLACES
+        for k in (0, 1):
+            out[k, at:to] = np.add.reduceat(_BYTE[k][letters] * _POWER[k][place], first) + n.astype(np.uint64)
+        at = to
+    return out
+
+
+def distinct_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of texts that are cut at blanks and line feeds, the number of each word, and of words up to each
+    text's end. Words are told apart by 128 bits."""
+    joined = b" ".join([*texts, b""])
+    raw = np.frombuffer(joined, np.uint8)
+    blanks = np.flatnonzero((raw == 32) | (raw == 10))
+    starts = np.append(0, blanks[:-1] + 1) if len(blanks) else blanks
+    lengths = blanks - starts
+    starts, lengths = starts[lengths > 0], lengths[lengths > 0]
+    ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    one, two = _hashes(raw, starts, lengths)
+    order = np.argsort(one, kind="stable")
+    if (differ := np.append(False, (one[order][1:] == one[order][:-1]) & (two[order][1:] != two[order][:-1]))).any():
+        order = np.lexsort((two, one))
+        differ = np.append(False, two[order][1:] != two[order][:-1])
+    new = np.append(True, one[order][1:] != one[order][:-1])[:len(order)] | differ[:len(order)]
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    first = order[new]
+    words = [joined[a:b] for a, b in zip(starts[first].tolist(), (starts[first] + lengths[first]).tolist())]
+    return words, number, ends
 
 
 @lru_cache(1)
-def words_of(path: str) -> Words:
+def words_of(path: str, remembered: int) -> Words:
     """One for all tasks of a Python worker, which go on with the words it remembers."""
-    return Words(path)
+    return Words(path, remembered)
 
 
 def pieces(
-    docs: DataFrame, path: str, size: int = 4096, closing: int = 1, column: str = "text"
+    docs: DataFrame, path: str, size: int = 4096, closing: int = 1, column: str = "text", together: int = TOGETHER,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32.
+
+    `together` and `remembered` only trade a task's memory for time; 16 MB of texts take about 300 MB.
+    """
     part = T.StructType([
         T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
@@ -117,7 +187,7 @@ def pieces(
     fields = T.StructType([T.StructField("pieces", T.ArrayType(part))])
 
     def start():
-        words = words_of(path)
+        words = words_of(path, remembered)
 
         def compute(texts):
             ids = words.ids(texts, closing)
@@ -133,7 +203,9 @@ def pieces(
 
         return compute
 
-    rows = with_struct(docs.select("doc_id", F.col(column).alias("text")), "text", "made", fields, start, 8 << 20)
+    rows = with_struct(
+        docs.select("doc_id", F.col(column).alias("text")), "text", "made", fields, start, together, gather=True
+    )
     return rows.select("doc_id", F.explode("made.pieces").alias("p")).select("doc_id", "p.*")
 
 
@@ -195,6 +267,9 @@ def pack(rows: DataFrame, size: int = 4096, block: int = BLOCK) -> DataFrame:
     return dealt.groupBy("block").applyInPandas(place, schema)
 
 
-def pack_documents(docs: DataFrame, path: str, size: int = 4096, closing: int = 1, column: str = "text") -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, size: int = 4096, closing: int = 1, column: str = "text", together: int = TOGETHER,
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """The pieces of all documents with their places; sequence ids are unique, offsets gapless."""
-    return pack(pieces(docs, path, size, closing, column), size)
+    return pack(pieces(docs, path, size, closing, column, together, remembered), size)

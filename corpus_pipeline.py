@@ -41,7 +41,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document, with its sequence and place."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Smaller lists of texts than the operator's own: workers still hold what the stages before have left.
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, path, together=2 << 20, remembered=150_000)
 
 
 STAGES = [

@@ -26,6 +26,7 @@ from riverstat.sources.requests import (
     portal_requests,
 )
 
+from .landed import state_results
 from .registry import Tables, query, text_dates
 
 _PORTAL_URL = "https://data.example/Export/DataSet?"
@@ -211,16 +212,52 @@ def extent(t: Tables) -> DataFrame:
 
 
 @query("site_union", """
-SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier UNION SELECT n_nationkey FROM nation""")
+SELECT DISTINCT n_nationkey AS nation FROM nation WHERE n_regionkey <> 0 AND (
+    n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING')
+    OR n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 0) OR n_regionkey = 1)""")
 def site_union(t: Tables) -> DataFrame:
-    return (
-        t.customer.select(F.col("c_nationkey").alias("nation"))
-        .union(t.supplier.select("s_nationkey"))
-        .union(t.nation.select("n_nationkey"))
-        .distinct()
+    """Sites of a state's results: those of any parameter whose values survive the flow, of wanted types, each once."""
+    day = F.lit("2020-06-01").cast("date").alias("Date")
+
+    def flag(good, bad: str):
+        return F.when(good, F.lit("A")).otherwise(F.lit(bad))
+
+    sites = t.nation.select(
+        F.col("n_nationkey").cast("string").alias("site_no"), F.col("n_name").alias("station_nm"),
+        F.when(F.col("n_regionkey") == 0, "GW").otherwise("ST").alias("site_tp_cd"),
+        F.col("n_nationkey").cast("string").alias("county_cd"),
+    )
+    temperature = t.customer.select(
+        F.col("c_nationkey").cast("string").alias("site_no"), day, F.col("c_acctbal").alias("Wtemp_Max"),
+        flag(F.col("c_mktsegment") == "BUILDING", "A e").alias("Wtemp_Max_cd"),
+    )
+    oxygen = t.supplier.select(
+        F.col("s_nationkey").cast("string").alias("site_no"), day, F.col("s_acctbal").alias("DO"),
+        flag(F.col("s_acctbal") > 0, "P Eqp").alias("DO_cd"),
     )
+    ph = t.nation.select(
+        F.col("n_nationkey").cast("string").alias("site_no"), day.cast("timestamp_ntz").alias("dateTime"),
+        F.lit(7.0).alias("pH_Inst"), flag(F.col("n_regionkey") == 1, "P").alias("pH_Inst_cd"),
+    )
+    records = state_results(t, sites, temperature, oxygen, ph)["monitoring_locations"]
+    return records.select(F.col("Stationkey").cast("int").alias("nation"))
 
 
-@query("distinct_sites", "SELECT DISTINCT user_id, event_type FROM events")
+@query("distinct_sites", """
+SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS site, c_name AS name, n_name AS county
+FROM customer JOIN events ON user_id = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+WHERE event_type IN ('click', 'view') AND c_mktsegment <> 'FURNITURE'""")
 def distinct_sites(t: Tables) -> DataFrame:
-    return t.events.select("user_id", "event_type").distinct()
+    """Sites with approved pH values, each once however many values it has."""
+    sites = t.customer.select(
+        F.col("c_custkey").cast("string").alias("site_no"), F.col("c_name").alias("station_nm"),
+        F.when(F.col("c_mktsegment") == "FURNITURE", "GW").otherwise("ST").alias("site_tp_cd"),
+        F.col("c_nationkey").cast("string").alias("county_cd"),
+    )
+    ph = t.events.select(
+        F.col("user_id").cast("string").alias("site_no"), F.col("ts").cast("timestamp_ntz").alias("dateTime"),
+        F.col("value").alias("pH_Inst"),
+        F.when(F.col("event_type").isin("click", "view"), "A").otherwise("P").alias("pH_Inst_cd"),
+    )
+    records = state_results(t, sites, ph=ph)["monitoring_locations"]
+    return records.select(F.col("Stationkey").alias("site"), F.col("Desc").alias("name"), F.col("COUNTY").alias("county"))

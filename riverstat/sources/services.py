@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from .. import schemas
-from ..operators.reshape import any_of_long, stack, with_missing
+from ..operators.reshape import stack, with_missing
 from .files import source_name
 
 
@@ -38,19 +38,39 @@ def read_portal(spark: SparkSession, path: str, requests: DataFrame) -> DataFram
 
 
 def read_hydrology(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Tab-separated exports, one path per data set because their headers differ, as one long table."""
-    ids = {"station_nbr": "string", "record_date": "string", "time_observed": "string",
-           "published_status": "string", "download_date": "string"}
-    tables = []
-    for path in paths.values():
-        raw = spark.read.csv(path, sep="\t", header=True)
-        named = raw.toDF(*(c.replace(".", "") for c in raw.columns))
-        tables.append(any_of_long(
-            with_missing(named, ids), list(ids), K.HYDROLOGY_VALUE_COLUMNS, "Characteristic_Name", "Result_Value"
-        ))
-    return stack(*tables).select(
-        "station_nbr", "record_date", "time_observed", "Characteristic_Name", "Result_Value", "published_status",
-        "download_date",
+    """Tab-separated exports as one long table: one row per known value column that a file has, NULL values included.
+
+    Headers differ from file to file, so no schema is taken from them: each file's header line (it has a station or a date
+    column; dots in names do not count) is a row of names that the file's other lines are joined with. So any number of
+    files and layouts is one plan. A file without a header, or without a known value column, is an error.
+    """
+    ids = ("station_nbr", "record_date", "time_observed", "published_status", "download_date")
+    unquoted = F.transform(F.split("value", "\t", -1), lambda cell: F.regexp_replace(cell, '^"(.*)"$', "$1"))
+    lines = spark.read.text(list(paths.values())).select(
+        unquoted.alias("cells"), F.col("_metadata.file_path").alias("file"), "value"
+    ).filter(F.trim("value") != "")
+    names = F.transform("cells", lambda cell: F.replace(cell, F.lit("."), F.lit("")))
+    is_header = F.arrays_overlap(names, F.array(*map(F.lit, ids[:2])))
+    headers = lines.filter(is_header).select("file", names.alias("names")).distinct()
+    named = lines.filter(~is_header).select("file", "cells").join(headers, "file", "left")
+
+    def cell(name: Column) -> Column:
+        return F.nullif(F.get("cells", F.array_position("names", name).cast("int") - 1), F.lit(""))
+
+    def error(text: str) -> Column:
+        return F.raise_error(F.concat(F.lit(text), F.col("file"))).cast("array<string>")
+
+    present = F.array_intersect(F.array(*map(F.lit, K.HYDROLOGY_VALUE_COLUMNS)), "names")
+    known = (
+        F.when(F.col("names").isNull(), error("no header in "))
+        .when(F.size(present) == 0, error("none of the known value columns is present in ")).otherwise(present)
+    )
+    long = named.select("names", "cells", F.explode(known).alias("Characteristic_Name"))
+    columns = {name: cell(F.lit(name)) for name in ids}
+    value = cell(F.col("Characteristic_Name")).try_cast("double")
+    return long.select(
+        *(columns[name].alias(name) for name in ids[:3]), "Characteristic_Name", value.alias("Result_Value"),
+        *(columns[name].alias(name) for name in ids[3:]),
     )
 
 

@@ -250,3 +250,25 @@ def test_large_source_is_written_by_several_tasks(spark, tmp_path):
         assert spark.read.csv(str(tmp_path / "hot"), header=True).count() == 200_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_hydrology_layouts_in_one_plan(spark, tmp_path):
+    put(tmp_path, "a.txt", "station_nbr\trecord_date\tdaily_max_water_temp_C\n1\t07-01-2020\t18.5\n\n2\t07-01-2020\t\n")
+    put(tmp_path, "b.txt", "\"published.status\"\t\"record_date\"\t\"station_nbr\"\tmeasured_stage_ft\tinstananteous_flow_cfs\n"
+        "PUB\t07-02-2020\t\"3\"\t1.5\t2.5\nPRO\t07-03-2020\t4\n")
+    put(tmp_path, "only_header.txt", "station_nbr\trecord_date\tmean_daily_flow_cfs\n")
+    df = services.read_hydrology(spark, {"all": str(tmp_path)})
+    assert sorted((r.station_nbr, r.Characteristic_Name, r.Result_Value, r.published_status) for r in df.collect()) == [
+        ("1", "daily_max_water_temp_C", 18.5, None), ("2", "daily_max_water_temp_C", None, None),
+        ("3", "instananteous_flow_cfs", 2.5, None), ("3", "measured_stage_ft", 1.5, None),
+        ("4", "instananteous_flow_cfs", None, None), ("4", "measured_stage_ft", None, None),
+    ]
+
+
+@pytest.mark.parametrize("text, message", [
+    ("1\t07-01-2020\t18.5\n", "no header in"), ("station_nbr\trecord_date\tother\n1\t07-01-2020\t2\n", "none of the known"),
+])
+def test_hydrology_files_that_cannot_be_read(spark, tmp_path, text, message):
+    path = put(tmp_path, "x.txt", text)
+    with pytest.raises(Exception, match=message):
+        services.read_hydrology(spark, {"x": path}).collect()

@@ -245,7 +245,7 @@ def encode(df: DataFrame, path: str, pattern: str, column: str = "text", into: s
 
         return compute
 
-    return with_struct(df, column, into, FIELDS, start, TOGETHER)
+    return with_struct(df, column, into, FIELDS, start, TOGETHER, gather=True)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "bpe") -> DataFrame:
@@ -270,7 +270,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, column: str = "text", int
 
         return compute
 
-    return with_struct(df, column, into, fields, start, TOGETHER)
+    return with_struct(df, column, into, fields, start, TOGETHER, gather=True)
 
 
 def decode(df: DataFrame, path: str, column: str = "ids", into: str = "decoded") -> DataFrame:

@@ -63,6 +63,7 @@ def daily_value_files(
         files.read_lookup(spark, counties, schemas.COUNTIES),
         project,
         existing,
+        sinks.hold,
     )
     results = tables["sumstats"] if existing is None else tables["non_duplicates"]
     if split_file:

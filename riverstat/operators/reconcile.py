@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -156,10 +156,16 @@ def duplicate_views(classified: DataFrame, columns: Sequence[str]) -> dict[str,
     }
 
 
-def check_duplicates(new: DataFrame, existing: DataFrame, columns: Columns = Columns()) -> dict[str, DataFrame]:
-    """The three tables, and `stored_matches`: all stored rows that the duplicates and updates match."""
-    candidates = prefilter_existing(existing, new, columns)
-    views = duplicate_views(classify_duplicates(new, candidates, columns), new.columns)
+def check_duplicates(
+    new: DataFrame, existing: DataFrame, columns: Columns = Columns(),
+    hold: Callable[[DataFrame], DataFrame] = lambda table: table,
+) -> dict[str, DataFrame]:
+    """The three tables, and `stored_matches`: all stored rows that the duplicates and updates match.
+
+    `hold` is applied to what feeds several of them (see `sinks.hold`).
+    """
+    candidates = hold(prefilter_existing(existing, new, columns))
+    views = duplicate_views(hold(classify_duplicates(new, candidates, columns)), new.columns)
     return {**views, "stored_matches": stored_rows_matched(new, candidates, columns)}
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,11 +114,16 @@ def daily_value_stats(
     counties: DataFrame,
     project: str,
     existing: DataFrame | None = None,
+    hold: Callable[[DataFrame], DataFrame] = lambda table: table,
 ) -> dict[str, DataFrame]:
-    """All results of a state's daily values; with `existing` also the comparison with the results store."""
+    """All results of a state's daily values; with `existing` also the comparison with the results store.
+
+    Statistics, pH and the classified rows each feed several tables. `hold` is applied to them: `sinks.hold` writes each
+    once and reads it from there, so that writing all tables computes nothing twice.
+    """
     wanted = keep_site_types(sites, "site_tp_cd")
     site_ids = wanted.select("site_no")
-    sumstats = stack(
+    sumstats = hold(stack(
         daily_value_template(
             temperature.join(site_ids, "site_no", "left_semi"), K.TEMPERATURE, "deg C", "THM01", project,
             TEMPERATURE_MOVING, TEMPERATURE_PAIRS,
@@ -125,12 +132,12 @@ def daily_value_stats(
             oxygen.join(site_ids, "site_no", "left_semi"), K.DISSOLVED_OXYGEN, "mg/L", "LUMIN", project,
             OXYGEN_MOVING, OXYGEN_PAIRS,
         ),
-    )
+    ))
     approved = ph.join(site_ids, "site_no", "left_semi").filter(F.col("pH_Inst_cd") == "A")
-    continuous = continuous_ph(
+    continuous = hold(continuous_ph(
         approved, F.col("site_no"), F.col("dateTime"), F.col("tz_cd"), F.col("site_no"), F.col("pH_Inst"),
         F.lit("pH Units"), F.col("pH_Inst_cd"),
-    )
+    ))
     deployed = import_form(
         deployments(
             instrument_is_location(continuous.select(*PH_COLUMNS)), ["Monitoring_Location_ID", "Equipment_ID"],
@@ -149,5 +156,5 @@ def daily_value_stats(
         "monitoring_locations": records,
     }
     if existing is not None:
-        tables.update(check_duplicates(sumstats, existing))
+        tables.update(check_duplicates(sumstats, existing, hold=hold))
     return tables

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -9,6 +10,14 @@ from pyspark.sql import functions as F
 
 from . import constants as K
 from .operators.split import file_numbers
+from .session import ensure_checkpoint_dir
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared checkpoint folder, and read from there by all that is made of them."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/held-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sort: Sequence[str] = ()) -> None:

@@ -42,8 +42,10 @@ def read_multi_part(spark: SparkSession, path: str, glob: str = "*Results*") ->
 def read_projects(spark: SparkSession, path: str, suffix: str = "-project", glob: str = "*.csv") -> DataFrame:
     """Alternate project per submission: the first cell of each file `<submission><suffix>.csv` of a folder."""
     raw = spark.read.option("pathGlobFilter", glob).csv(path, header=True)
-    named = raw.select(source_name().alias("file"), F.col(raw.columns[0]).alias("cell"))
-    first = named.groupBy("file").agg(F.first("cell").alias("alt_project"))
+    named = raw.select(
+        source_name().alias("file"), F.col(raw.columns[0]).alias("cell"), F.monotonically_increasing_id().alias("line")
+    )
+    first = named.groupBy("file").agg(F.min_by("cell", "line").alias("alt_project"))
     return first.select(F.regexp_replace("file", f"{suffix}$", "").alias("source_file"), "alt_project")
 
 

@@ -1,11 +1,13 @@
 """From landed files to written folders."""
 
+import datetime as dt
 import json
 import os
 
 from test_files import HEADER, LOGGER, put
 
-from riverstat import jobs, schemas
+from riverstat import jobs, plans, schemas, sinks
+from riverstat.operators.reshape import with_missing
 from riverstat.sources import requests
 
 
@@ -160,3 +162,39 @@ def test_air_files(spark, tmp_path):
     assert sorted((r.STATION, r.DATE, r.TMAX) for r in read(spark, tmp_path / "out").collect()) == [
         ("A", "2020-07-01", "80.0"), ("B", "2020-07-01", None)
     ]
+
+def test_daily_values_with_a_store_are_computed_once(spark, tmp_path):
+    """All tables of the flow are written, and the source's rows pass twice: as they are, and into the moving means."""
+    sites = spark.createDataFrame([("01", "River", "ST", "001")], "site_no string, station_nm string, site_tp_cd string, county_cd string")
+    sites = with_missing(sites, {f.name: f.dataType.simpleString() for f in schemas.SITES}).select(*schemas.SITES.names)
+    columns = schemas.daily_value_schema(("Wtemp_Max", "Wtemp", "Wtemp_Min"))
+    days = spark.createDataFrame(
+        [("AG", "01", dt.date(2020, 7, d), 18.0 + d, "A", 17.0, "A", None, None) for d in range(1, 11)], columns
+    )
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(len(batch))
+            yield batch
+
+    oxygen = spark.createDataFrame([], schemas.daily_value_schema(("DO_Max", "DO", "DO_Min")))
+    ph = spark.createDataFrame([("01", dt.datetime(2020, 7, 1, 0, 15), "PST", 7.1, "A")], schemas.INSTANT_PH)
+    counties = spark.createDataFrame([("001", "Benton")], schemas.COUNTIES)
+    plain = plans.daily_value_stats(days, oxygen, ph, sites, counties, "Call")["sumstats"]
+    daily = [r for r in plain.collect() if r.StatisticalBasis == "Daily Maximum"]
+    stored = [
+        ("OR", r.SiteID, r.CharID, r.ActStartDate, r.ActStartTime, r.Method, None, "Maximum",
+         float(r.Result) + (i == 1), float(r.Result), "deg C", f"u{i}", "a", None)
+        for i, r in enumerate(sorted(daily, key=lambda r: r.ActStartDate)[:2])
+    ]
+    existing = spark.createDataFrame(stored, schemas.EXISTING_RESULTS)
+    tables = plans.daily_value_stats(
+        days.mapInPandas(count, days.schema), oxygen, ph, sites, counties, "Call", existing, sinks.hold
+    )
+    names = sinks.write_tables(tables, str(tmp_path / "out"))
+    assert passed.value == 2 * 10
+    assert set(names) == set(tables)
+    assert {n: tables[n].count() for n in ("suspected_dups", "suspected_updates", "stored_matches")} == {
+        "suspected_dups": 1, "suspected_updates": 1, "stored_matches": 2}
+    assert tables["non_duplicates"].count() == plain.count() - 2

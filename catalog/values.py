@@ -22,6 +22,7 @@ from riverstat.functions import (
     wall_clock,
 )
 from riverstat.plans import published
+from riverstat.plans.loggers import logger_long
 from riverstat.operators.quality import (
     date_window,
     drop_qualifiers,
@@ -105,7 +106,7 @@ UNION ALL SELECT 'site type', o_orderkey FROM orders
     WHERE nullif(o_orderpriority, '5-LOW') IS NULL OR o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
 UNION ALL SELECT 'grade', l_orderkey FROM lineitem WHERE l_linenumber = 1 AND l_quantity IN (10, 20)
 UNION ALL SELECT 'published', l_orderkey FROM lineitem WHERE l_returnflag = 'R'
-UNION ALL SELECT 'parameter', l_orderkey FROM lineitem WHERE NOT regexp_matches(l_returnflag || l_linestatus, 'AF')""")
+UNION ALL SELECT 'flag', l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R')""")
 def qc_filters(t: Tables) -> DataFrame:
     orders = t.orders.withColumns({
         "status": F.when(F.col("o_orderstatus") == "F", F.lit(K.REJECTED)).otherwise(
@@ -115,13 +116,20 @@ def qc_filters(t: Tables) -> DataFrame:
     })
     lines = t.lineitem
     denied = ("1-URGENT", "2-HIGH")
+    none = F.lit(None).cast("double")
+    flag = lookup(F.col("l_returnflag"), {"A": "<0> [GSM]", "N": "<-3>", "R": "<4>"}).alias("F_Temp")
+    logger = lines.select(
+        F.col("l_orderkey").alias("StationCode"), F.col("l_quantity").alias("Temp"), flag, none.alias("DO_Pct"),
+        F.lit("<-2>").alias("F_DO_Pct"), none.alias("DO_mgl"), F.lit(None).cast("string").alias("F_DO_mgl"), none.alias("pH"),
+        F.lit("<1>").alias("F_pH"),
+    )
     kept = {
         "rejected": drop_rejected(orders, "status"),
         "qualifier": drop_qualifiers(orders, "priority", denied),
         "site type": keep_site_types(orders, "priority", denied),
         "grade": keep_grades(lines, "l_linenumber", "l_quantity", (1,), (10, 20)),
         "published": published(lines.withColumn("published_status", F.when(F.col("l_returnflag") == "R", K.PUBLISHED))),
-        "parameter": lines.filter(~F.concat("l_returnflag", "l_linestatus").rlike("AF")),
+        "flag": logger_long(logger).filter("parameter = 'Temp'").withColumnRenamed("StationCode", "l_orderkey"),
     }
     rows = None
     for rule, df in kept.items():

@@ -43,10 +43,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset, one beside the warehouse."""
+    """The folder of spark.checkpoint.dir; where it is unset, one beside the warehouse, but only in a local session.
+
+    On a cluster such a folder may belong to one machine, so the setting is required there.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
 

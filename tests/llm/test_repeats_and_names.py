@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riverstat.llm import language, lines, minmax, packing, pages, polytope, toxicity
+from riverstat.llm.common import shared_folder
 
 
 def plain_links(rows, least=0.98):
@@ -122,3 +123,30 @@ def test_words_are_told_apart():
     assert [found[a:b] for a, b in zip([0, *ends[:-1]], ends)] == [[w for w in t.replace(b"\n", b" ").split(b" ") if w] for t in texts]
     assert len(set(words)) == len(words)
     assert [len(x) for x in packing.distinct_words([])] == [0, 0, 0] and packing.distinct_words([b"", b""])[0] == []
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+    def getConf(self):
+        return {}
+
+
+class _Session:
+    def __init__(self, master, **conf):
+        self.sparkContext, self.conf = _Context(master), {"spark.sql.warehouse.dir": "file:/warehouse/", **conf}
+
+
+def test_shared_folder_is_named_on_a_cluster():
+    named = {"spark.checkpoint.dir": "hdfs://shared/cp"}
+    assert shared_folder(_Session("spark://host:7077", **named)) == "hdfs://shared/cp"
+    assert shared_folder(_Session("local[2]")) == "file:/warehouse/_checkpoints"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("spark://host:7077"))

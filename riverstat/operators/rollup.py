@@ -35,14 +35,16 @@ def daily(
     keys: Sequence[str],
     min_hours: int = K.COMPLETE_HOURS,
     est_hours: int = K.ESTIMATED_HOURS,
-    cluster: bool = False,
+    cluster: Sequence[str] = (),
 ) -> DataFrame:
     """One row per series and day; the daily mean is the mean of the hourly means.
 
-    `cluster=True` places the hours by series, so that this aggregation and the moving windows after it share one
-    shuffle. A series has at most 24 rows per calendar day here, however many readings it had.
+    `cluster` names the keys that the hours are placed by, so that this aggregation and the moving windows after it share
+    one shuffle. They need not be all keys, and a key that may be a literal should not be among them: Spark takes literals
+    out of a grouping, which placed rows then no longer fit. A series has at most 24 rows per calendar day here, however
+    many readings it had.
     """
-    rows = hours.repartition(*keys) if cluster else hours
+    rows = hours.repartition(*cluster) if cluster else hours
     days = grouped(
         rows, [*keys, "date"], {"dyMean": "hrMean"},
         F.min("hrDTmin").alias("dDTmin"),

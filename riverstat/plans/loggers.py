@@ -36,7 +36,7 @@ def logger_folder_stats(wide: DataFrame, instruments: dict[str, str] | None = No
 
     keys = [*extra, "StationCode", "parameter"]
     days = daily(hourly(long.filter(~F.col("parameter").contains("pH")), keys, "DateTimeStamp", "result"), keys,
-                 cluster=True)
+                 cluster=keys)
     complete = days.filter(F.col("hrNday") >= K.COMPLETE_HOURS)
     moved = moving(complete, keys, "date", [MAX_7, MEAN_7, MIN_7, MEAN_30])
     oxygen = F.col("parameter").contains("DO")

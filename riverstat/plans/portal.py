@@ -33,7 +33,7 @@ RAW_PH = "pH.Primary"
 def portal_days(readings: DataFrame, keys: list[str], ts: str, value: str, unit: str) -> DataFrame:
     """Complete days of a series; hours are formed per unit, days over all of them."""
     hours = hourly(readings, [*keys, unit], ts, value)
-    return complete_days(daily(hours, keys, cluster=True))
+    return complete_days(daily(hours, keys, cluster=keys))
 
 
 def _ready_made(readings: DataFrame, project: str) -> DataFrame:

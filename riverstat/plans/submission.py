@@ -28,15 +28,19 @@ from ..operators.template import (
 
 MOVING_CHARACTERISTICS = (K.DISSOLVED_OXYGEN, K.TEMPERATURE)
 
+# Keys of a series that are often one text for a whole submission.
+SHARED_KEYS = ("Activity_Time_Zone", "Result_Unit", "r_units")
+
 
 def daily_statistics(readings: DataFrame, keys: list[str], ts: str, value: str, characteristic: str) -> DataFrame:
     """Daily and moving statistics of all characteristics in one pass, the characteristic being part of the key.
 
     Dissolved oxygen has 7-day means of the mean and minimum and a 30-day mean, temperature a 7-day mean of the maximum;
-    both drop incomplete days. Other characteristics keep all days and have no moving statistics.
+    both drop incomplete days. Other characteristics keep all days and have no moving statistics. Series are placed by
+    all keys but zones and units, which are often the same for all.
     """
     name = F.col(characteristic)
-    days = daily(hourly(readings, keys, ts, value), keys, cluster=True)
+    days = daily(hourly(readings, keys, ts, value), keys, cluster=[k for k in keys if k not in SHARED_KEYS])
     kept = days.filter((F.col("hrNday") >= K.COMPLETE_HOURS) | ~name.isin(*MOVING_CHARACTERISTICS))
     moved = moving(kept, keys, "date", [MAX_7, MEAN_7, MIN_7, MEAN_30], bounds=("dDTmin", "dDTmax"))
     oxygen, temperature = name == K.DISSOLVED_OXYGEN, name == K.TEMPERATURE

@@ -93,7 +93,7 @@ def test_against_brute_force(spark):
 
 def test_two_shuffles_from_readings_to_moving_means(spark):
     df = spark.createDataFrame([("a", dt.datetime(2020, 7, 1), 1.0)], "station string, ts timestamp_ntz, value double")
-    days = daily(hourly(df, ["station"], "ts", "value"), ["station"], cluster=True)
+    days = daily(hourly(df, ["station"], "ts", "value"), ["station"], cluster=["station"])
     plan = moving(days, ["station"], "date", [MAX, MEAN_30])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2
     assert plan.count("+- Window") == 1

@@ -294,3 +294,11 @@ def test_daily_max(spark):
     assert stat(stats, "7DMADMax") == [18.2] * 3  # the frames of days 6 to 8; later ones hold the missing value
     row = stats.first()
     assert (row.Qualcd, row.ActStartTimeZone, row.Method, row.Project) == ("Final", "PST", "T-170.1", "Call")
+
+
+def test_a_submission_moves_twice_up_to_its_moving_means(spark):
+    """Once by hour and once by series, also where zone and unit are literals."""
+    df = readings(spark, ("L1", "E1", "pH", lambda t: float(t.hour), "pH units", "Final", hours(1)))
+    stats = plans.submission_stats(df.withColumn("Activity_Time_Zone", F.lit("PST")), "Call")["statistics"]
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -50,7 +50,7 @@ def test_two_units_and_zones_are_series_of_their_own(spark):
 def test_clustered_days_equal_unclustered(spark):
     rows = [("a" if i % 3 else "b", START + dt.timedelta(minutes=37 * i), float(i % 17)) for i in range(900)]
     hours = hourly(readings(spark, rows), ["station"], "ts", "value")
-    assert sorted(daily(hours, ["station"], cluster=True).collect()) == sorted(daily(hours, ["station"]).collect())
+    assert sorted(daily(hours, ["station"], cluster=["station"]).collect()) == sorted(daily(hours, ["station"]).collect())
 
 
 def test_empty(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from .. import schemas
 from ..operators.reshape import stack, with_missing
+from . import json_records
 from .files import source_name
 
 
@@ -77,9 +78,9 @@ def read_hydrology(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 def read_air(spark: SparkSession, *paths: str, data_types: tuple[str, ...] = ("TMAX",)) -> DataFrame:
     """Daily climate records of all paths in one read: each landed file is one JSON array, the answer to one request.
 
-    A data type that a station does not report is NULL.
+    A data type that a station does not report is NULL. A file of any size is read by many tasks (`json_records`).
     """
-    return spark.read.schema(schemas.air_schema(data_types)).json(list(paths), multiLine=True)
+    return json_records.parsed(json_records.elements(json_records.read_objects(spark, *paths)), schemas.air_schema(data_types))
 
 
 def explode_datasets(envelopes: DataFrame) -> DataFrame:
@@ -92,7 +93,20 @@ def explode_datasets(envelopes: DataFrame) -> DataFrame:
 
 
 def read_datasets(spark: SparkSession, path: str) -> DataFrame:
-    return explode_datasets(spark.read.schema(schemas.PORTAL_JSON).json(path, multiLine=True))
+    """One row per point of all landed envelopes, the attributes of its data set in front.
+
+    A landed file is one envelope: an object with an array `points` and an object `dataset`, in any order. The points of a
+    large one are read by many tasks (`json_records`) and joined with the one row of their file's data set.
+    """
+    envelope = {f.name: f.dataType for f in schemas.PORTAL_JSON}
+    objects = json_records.read_objects(spark, path)
+    points = json_records.parsed(json_records.elements(objects, "points"), envelope["points"].elementType, "file")
+    several = F.raise_error(F.concat(F.lit("more than one data set in "), F.col("file"))).cast(envelope["dataset"])
+    sets = (
+        json_records.named(objects, "dataset").groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("object").alias("object"))
+        .select("file", F.when(F.col("n") > 1, several).otherwise(F.from_json("object", envelope["dataset"])).alias("dataset"))
+    )
+    return points.join(sets, "file", "left").select("dataset.*", *(F.col(c) for c in points.columns if c != "file"))
 
 
 def read_catalogue(spark: SparkSession, path: str, label: str) -> DataFrame:

@@ -4,23 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from .joins import null_safe_join
 
 
-def place_in_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Cut the rows into even slices of a global order, numbered in `_slice`.
+# Rows of the sample per slice, and the most slices.
+PER_SLICE, MOST_SLICES = 16, 4096
 
-    `order` identifies a row, so no value can dominate a slice. The result is checkpointed: the slice bounds are
-    sampled, and every use has to see the same ones, also after the loss of an executor.
+
+def place_in_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """Cut the rows into slices of about the same size of a global order, numbered in `_slice`.
+
+    `order` identifies a row, so no value can dominate a slice. Bounds come from a sample of `PER_SLICE` rows a slice, those
+    of the smallest hash in as many groups of hashes. So they depend on the rows alone: every use, and every task that is
+    run again, has the same slices, and nothing has to be run or written while the plan is built. There are as many slices
+    as shuffle partitions, up to `MOST_SLICES`.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    slices = min(slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SLICES)
+    key, mixed = F.struct(*order), F.xxhash64(*order)
+    # All columns are carried, so that the sample is taken from the same exchange that the rows come from.
+    sample = df.groupBy(F.pmod(mixed, F.lit(slices * PER_SLICE)).alias("group")).agg(
+        F.min_by(F.struct(key.alias("key"), *df.columns), mixed)["key"].alias("key")
+    )
+    every = f"greatest(1, ceil(size(ordered) / {slices}))"
+    bounds = sample.agg(F.sort_array(F.collect_list("key")).alias("ordered")).selectExpr(
+        f"filter(ordered, (x, i) -> i % {every} = {every} - 1) AS bounds"
+    ).scalar()
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get("_bounds", at + step - 1) < key, at + step).otherwise(at)
+
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(slices.bit_length()))))
+    return df.withColumn("_bounds", bounds).withColumn("_slice", F.reduce(steps, F.lit(0), further)).drop("_bounds")
 
 
 def running_total(placed: DataFrame, order: Sequence[str], amount: str, group: Sequence[str] = ()) -> DataFrame:

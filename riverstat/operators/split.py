@@ -100,11 +100,12 @@ def file_numbers(
     keys = df.select(F.col(key).alias("group_key")).filter(F.col("group_key").isNotNull())
     counts = keys.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
     placed = place_in_slices(counts, ["group_key"])
-    rows = placed.agg(F.sum("n")).first()[0] or 0
+    rows = keys.count()
     groups = (
         running_total(placed, ["group_key"], "n")
         .select("group_key", (F.col("running") - F.col("n")).alias("begin"))
         .withColumn("block", F.expr(f"begin div {width}L"))
+        .filter(F.col("block").isNotNull())  # as the join below asks for, so that both uses share one exchange
     )
 
     def exits(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -136,7 +137,7 @@ def file_numbers(
         return pdf[["group_key", "file_no"]]
 
     entered = _enter(
-        groups.select("block", "begin").groupBy("block").applyInPandas(exits, _EXITS), rows // width + 1, fan
+        groups.groupBy("block").applyInPandas(exits, _EXITS), rows // width + 1, fan
     )
     key_type = counts.schema["group_key"].dataType.simpleString()
     numbered = groups.join(entered, "block").groupBy("block").applyInPandas(

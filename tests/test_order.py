@@ -152,3 +152,24 @@ print("files", file_numbers(df, "key", 3, 4, 2).agg({{"file_no": "max"}}).first(
         [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120
     )
     assert "files 10" in done.stdout, done.stderr[-2000:]
+
+
+def test_slices_follow_the_order_and_are_even(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([None, float("nan"), -1.5, 2.0])) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "g string, o int, x double").repartition(5)
+    for slices in (1, 7, 100):
+        placed = place_in_slices(df, ["g", "x", "o"], slices)
+        numbers = [r._slice for r in placed.orderBy("g", "x", "o").collect()]
+        assert numbers == sorted(numbers)
+        sizes = [numbers.count(n) for n in set(numbers)]
+        assert len(sizes) <= slices + 1 and max(sizes) < 3 * len(rows) / slices
+        assert numbers == [r._slice for r in placed.repartition(3).orderBy("g", "x", "o").collect()]
+
+
+def test_orders_run_nothing_while_the_plan_is_built(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = spark.range(100).selectExpr("id % 3 AS k", "CAST(id AS double) AS v")
+    built = value_distribution(df, ["k"], "v")
+    assert set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == set(before)
+    assert built.count() == 3

@@ -156,6 +156,6 @@ def multi_part_submission_stats(
 
 
 def submission_distribution(readings: DataFrame) -> DataFrame:
-    """Distribution of the accepted values per characteristic and location (runs a job to place the values)."""
+    """Distribution of the accepted values per characteristic and location."""
     keys = [*_extra(readings), "Characteristic_Name", "Monitoring_Location_ID"]
     return value_distribution(accepted_readings(readings), keys, "r")

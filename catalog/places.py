@@ -170,7 +170,7 @@ SELECT '{_PORTAL_URL}&dataTypes=TMAX&startDate=2019-04-01&endDate=2019-12-31&sta
 FROM s""")
 def manifest(t: Tables) -> DataFrame:
     period = ("2019-04-01", "2019-12-31")
-    portal = portal_requests(t.supplier, "s_suppkey", *period, _ASKED, _PORTAL_URL)
+    portal = portal_requests(t.supplier, "s_suppkey", *period, _ASKED, _PORTAL_URL).drop("file_name")
     none = F.lit(None).cast("string")
     hydrology = hydrology_requests(t.supplier, "s_suppkey", *period, ("MDF", "WTEMP_MAX"), _PORTAL_URL)
     stations = t.supplier.withColumn("s_suppkey", F.col("s_suppkey").cast("string"))

@@ -4,9 +4,12 @@ import datetime as dt
 import json
 import os
 
+import duckdb
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 
+from catalog import ORACLES, QUERIES
 from riverstat import plans, sinks, schemas
 from riverstat.sources import files, loggers, requests, services, submissions
 
@@ -183,6 +186,16 @@ def test_requests(spark):
     assert asked[1].query.endswith("dataset=WTEMP_MIN&format=tab&units=C")
 
 
+def test_manifest_stacks_the_requests_of_all_services(spark, tmp_path):
+    suppliers = spark.createDataFrame([(1,), (1,), (70,), (None,)], "s_suppkey int")
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
+    assert differences(spark, con, QUERIES["manifest"], ORACLES["manifest"], str(tmp_path)) == []
+    made = QUERIES["manifest"](spark, str(tmp_path))
+    assert made.columns == ["url", "station", "char", "unit"] and made.filter("station = '1'").count() == 2 * (4 + 2 + 1)
+
+
 def test_inventory(spark):
     catalogue = spark.createDataFrame(
         [("FC-8", "pH.Primary@FC-8"), ("FC-8", "Salinity.Primary@FC-8")], "LocationIdentifier string, Identifier string"

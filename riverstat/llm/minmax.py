@@ -28,7 +28,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, cut, free, pieces, shared_folder, ship
@@ -141,19 +142,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select("x", "y")
 
 
-def _pairs(joined: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of (rep, n) and (pivot, pn), by smaller id, whose sizes allow the similarity."""
-    first = F.col("rep") < F.col("pivot")
-    sized = joined.filter(
-        (F.col("rep") != F.col("pivot")) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
+def _members(entries: DataFrame) -> DataFrame:
+    """Entries (bucket, rep, n) of buckets that have more, each with its bucket's smallest member and number of members.
+
+    The entries, the most rows of all, are dealt by their bucket once; what is asked of a bucket is answered in place.
+    """
+    bucket = Window.partitionBy("bucket")
+    least = F.min(F.struct("rep", "n")).over(bucket)
+    return entries.withColumns({"least": least, "held": F.count(F.lit(1)).over(bucket)}).filter("held > 1").select(
+        "bucket", "rep", "n", F.col("least.rep").alias("pivot"), F.col("least.n").alias("pn"), "held"
     )
+
+
+def _pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs x, y of a bucket's smallest member and another (with set sizes nx, ny) that may be similar by size."""
+    sized = members.filter((F.col("rep") != F.col("pivot")) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")))
     return sized.select(
-        F.least("rep", "pivot").alias("x"), F.greatest("rep", "pivot").alias("y"),
-        F.when(first, F.col("n")).otherwise(F.col("pn")).alias("nx"),
-        F.when(first, F.col("pn")).otherwise(F.col("n")).alias("ny"),
+        F.col("pivot").alias("x"), F.col("rep").alias("y"), F.col("pn").alias("nx"), F.col("n").alias("ny")
     ).dropDuplicates(["x", "y"])
 
 
+def _candidates(entries: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs to confirm, and the members (bucket, rep) of buckets of three or more."""
+    members = _members(entries).persist(StorageLevel.MEMORY_AND_DISK)
+    found = cut(_pairs(members, percent)), cut(members.filter("held > 2").select("bucket", "rep"))
+    members.unpersist()
+    return found
+
+
 def _similar(sets: list[np.ndarray], rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (of `rows` and of all sets) that are similar enough, by products of 0/1 matrices."""
     size = np.array([len(x) for x in sets])
@@ -174,13 +190,16 @@ def _similar(sets: list[np.ndarray], rows: np.ndarray, percent: int) -> tuple[np
 
 
 def _in_clusters(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links x, y between different components that share a bucket, as far as components need them."""
+    """Links x, y between different components that share a bucket, as far as components need them.
+
+    `members` are those of buckets of three or more: two members have been compared.
+    """
     now = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("component")
     )
     several = now.groupBy("bucket").agg(
-        F.min("component").alias("c"), F.max("component").alias("d"), F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")
-    ).filter("c < d AND n > 2").select("bucket", "first")  # two members have been compared
+        F.min("component").alias("c"), F.max("component").alias("d"), F.min("rep").alias("first")
+    ).filter("c < d").select("bucket", "first")
     now = cut(now.join(cut(several), "bucket"))
     if now.isEmpty():
         return None
@@ -189,9 +208,10 @@ def _in_clusters(members: DataFrame, found: DataFrame, sets: DataFrame, percent:
     blocks = labelled.groupBy("cluster").agg(F.expr(f"CAST(ceil(count(1) / {BLOCK}) AS INT)").alias("blocks"))
     parted = labelled.join(blocks, "cluster").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    wanted = _of_ids(sets.withColumnRenamed("id", "doc_id"), labelled.select(F.col("rep").alias("doc_id")), "left_semi")
     work = parted.withColumn("other", other).select(
         "cluster", "rep", "component", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")
-    ).join(sets.withColumnRenamed("id", "rep"), "rep")
+    ).join(wanted.withColumnRenamed("doc_id", "rep"), "rep")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         rep, label = pdf["rep"].to_numpy(), pdf["component"].to_numpy()
@@ -223,25 +243,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     signed = cut(_signatures(docs, words))
-    classes = cut(
-        signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    classes = signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b")
+    rep = F.min("doc_id").alias("rep")
+    entries = classes.agg(rep, F.any_value("n").alias("n"), F.any_value("bands").alias("bands")).select(
+        "rep", "n", F.explode("bands").alias("bucket")
     )
-    entries = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = cut(entries.groupBy("bucket").agg(
-        F.min("rep").alias("pivot"), F.min_by("n", "rep").alias("pn"), F.max("rep").alias("last")
-    ).filter("pivot < last").select("bucket", "pivot", "pn"))
-    members = cut(entries.join(shared.select("bucket"), "bucket", "left_semi"))
-    sets = cut(_sets(_of_ids(docs, members.select(F.col("rep").alias("doc_id")).distinct(), "left_semi"), words))
-
-    links = cut(_confirmed(_pairs(members.join(shared, "bucket"), percent), sets, percent))
+    pairs, crowded = _candidates(entries, percent)
+    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).unionByName(crowded.select(F.col("rep").alias("doc_id")))
+    sets = cut(_sets(_of_ids(docs, ids.distinct(), "left_semi"), words))
+
+    links = cut(_confirmed(pairs, sets, percent))
     found = components(links, "x", "y")
-    more = _in_clusters(members, found, sets, percent)
+    more = _in_clusters(crowded, found, sets, percent)
     if more is not None:
         found = components(links.unionByName(more), "x", "y")
 
     of_class = cut(
-        classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.agg(rep).join(found.withColumnRenamed("node", "rep"), "rep", "left")
         .select("a", "b", F.coalesce("component", "rep").alias("component_id"))
     )
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()

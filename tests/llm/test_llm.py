@@ -133,6 +133,22 @@ def test_near_duplicates(spark, odd, words):
     assert minmax.near_duplicates(odd, words).filter("doc_id IS NULL").first()["kept"]
 
 
+def test_entries_of_bands_are_dealt_once(spark, monkeypatch):
+    rows = [(b, r, 10 * r) for b, held in {1: [5, 3, 9], 2: [4], 3: [8, 2], 4: [7]}.items() for r in held]
+    members = minmax._members(spark.createDataFrame(rows, "bucket long, rep long, n long"))
+    assert members._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    expected = [(1, 3, 30, 3, 30, 3), (1, 5, 50, 3, 30, 3), (1, 9, 90, 3, 30, 3), (3, 2, 20, 2, 20, 2), (3, 8, 80, 2, 20, 2)]
+    assert sorted(map(tuple, members.collect())) == expected
+
+    written, cut = [], minmax.cut
+    monkeypatch.setattr(minmax, "cut", lambda df, *more: written.append(df.columns) or cut(df, *more))
+    same, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    docs = spark.createDataFrame([(1, same), (2, same), (3, same + " more"), (4, same + " most"), (5, other)], SCHEMA)
+    found = {r["doc_id"]: r["component_id"] for r in minmax.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+    assert sum("bands" in columns for columns in written) == 1  # the signatures, the widest rows, are written once
+
+
 def test_one_row_of_each_group_stays(spark):
     a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
     near_b = b + " more"
